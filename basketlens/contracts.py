@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "string": StringType(), "int": IntegerType(), "bigint": LongType(), "double": DoubleType()}
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(columns: str) -> StructType:
+    """A schema from ``name type, …``; needs no running session, unlike a DDL string."""
+    pairs = (column.split() for column in columns.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SOURCE_SCHEMAS: dict[str, StructType] = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -202,22 +203,26 @@ def fit_perceptron(train: DataFrame, standardizer: Standardizer, hidden_units: i
         _learning_frame(train, standardizer, None))
 
 
+def linear_logit(model: LogisticRegressionModel, standardizer: Standardizer) -> Column:
+    """A fitted logistic regression as one column expression, inside generated code."""
+    terms = [F.lit(float(weight)) * standardizer.column(name) for weight, name in zip(
+        model.coefficients, standardizer.features)]
+    return reduce(lambda total, term: total + term, terms, F.lit(float(model.intercept)))
+
+
 def apply_model(dataset: DataFrame, standardizer: Standardizer,
                 model: PipelineModel) -> DataFrame:
     """Logit and probability of a fitted pipeline for every row."""
-    p = F.get(vector_to_array("probability"), F.lit(1))
-    raw = vector_to_array("rawPrediction")
-    return model.transform(_learning_frame(dataset, standardizer, None)).select(
-        "household_key", "CAMPAIGN", "data_split", F.col("label").cast("int")
-        .alias("target_redeemed"), (_margin(model, raw)).alias("logit"),
-        p.alias("raw_probability"))
-
-
-def _margin(model: PipelineModel, raw: Column) -> Column:
-    """The log-odds: one raw value for logistic regression, a difference for the network."""
-    if isinstance(model.stages[-1], LogisticRegressionModel):
-        return F.get(raw, F.lit(1))
-    return F.get(raw, F.lit(1)) - F.get(raw, F.lit(0))
+    keep = ["household_key", "CAMPAIGN", "data_split", "target_redeemed"]
+    fitted = model.stages[-1]
+    if isinstance(fitted, LogisticRegressionModel):
+        scored = dataset.select(*keep, linear_logit(fitted, standardizer).alias("logit"))
+    else:
+        raw = vector_to_array("rawPrediction")
+        scored = model.transform(_learning_frame(dataset, standardizer, None)).select(
+            *keep[:3], F.col("label").cast("int").alias("target_redeemed"),
+            (F.get(raw, F.lit(1)) - F.get(raw, F.lit(0))).alias("logit"))
+    return scored.withColumn("raw_probability", sigmoid(F.col("logit")))
 
 
 def permuted_scores(validation: DataFrame, standardizer: Standardizer, network: FeedForward,

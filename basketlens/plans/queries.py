@@ -68,20 +68,17 @@ def outcome_window_lines(a: RetailAnalysis) -> DataFrame:
 
 @query
 def highest_value_customers(a: RetailAnalysis) -> DataFrame:
-    return rounded(reports.run_report(a.tables.spark, "highest_value_customers", a.views),
-                   "average_basket_value")
+    return reports.run_report(a.tables.spark, "highest_value_customers", a.views)
 
 
 @query
 def highest_revenue_products(a: RetailAnalysis) -> DataFrame:
-    return rounded(reports.run_report(a.tables.spark, "highest_revenue_products", a.views),
-                   "repeat_purchase_rate")
+    return reports.run_report(a.tables.spark, "highest_revenue_products", a.views)
 
 
 @query
 def campaign_performance(a: RetailAnalysis) -> DataFrame:
-    return rounded(reports.run_report(a.tables.spark, "campaign_performance", a.views),
-                   "descriptive_redemption_rate")
+    return reports.run_report(a.tables.spark, "campaign_performance", a.views)
 
 
 @query
@@ -91,19 +88,17 @@ def customer_spend_by_department(a: RetailAnalysis) -> DataFrame:
 
 @query
 def coupon_usage_by_customer_segment(a: RetailAnalysis) -> DataFrame:
-    return rounded(
-        reports.run_report(a.tables.spark, "coupon_usage_by_customer_segment", a.views),
-        "average_coupon_discounted_baskets")
+    return reports.run_report(a.tables.spark, "coupon_usage_by_customer_segment", a.views)
 
 
 # Feature tables
 
 def _household(a: RetailAnalysis) -> DataFrame:
-    return rounded(a.customers, "average_basket_value", "purchase_frequency")
+    return a.customers
 
 
 def _product(a: RetailAnalysis) -> DataFrame:
-    return rounded(a.products, "average_sales_value_per_occurrence", "repeat_purchase_rate")
+    return a.products
 
 
 @query
@@ -138,12 +133,12 @@ def campaign_household_features_bounded(a: RetailAnalysis) -> DataFrame:
 
 @query
 def campaign_features(a: RetailAnalysis) -> DataFrame:
-    return rounded(a.campaigns, "descriptive_redemption_rate")
+    return a.campaigns
 
 
 @query
 def campaign_features_bounded(a: RetailAnalysis) -> DataFrame:
-    return rounded(_bounded(a).campaigns, "descriptive_redemption_rate")
+    return _bounded(a).campaigns
 
 
 # Quality
@@ -156,7 +151,7 @@ def column_profile(a: RetailAnalysis) -> DataFrame:
         F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"), "o_orderpriority",
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).otherwise("  ")
         .alias("priority_note"))
-    return rounded(quality.column_profile(text, CENSUS_RULES), "null_rate")
+    return quality.column_profile(text, CENSUS_RULES)
 
 
 @query
@@ -280,7 +275,7 @@ def exposure_spine(a: RetailAnalysis) -> DataFrame:
 
 @query
 def response_dataset(a: RetailAnalysis) -> DataFrame:
-    return rounded(a.dataset, "historical_average_basket_value", "historical_purchase_frequency")
+    return a.dataset
 
 
 @query
@@ -290,7 +285,7 @@ def split_summary(a: RetailAnalysis) -> DataFrame:
 
 @query
 def split_population(a: RetailAnalysis) -> DataFrame:
-    return rounded(training.split_population(a.dataset), "actual_positive_rate")
+    return training.split_population(a.dataset)
 
 
 # Response model
@@ -303,8 +298,7 @@ def feature_statistics(a: RetailAnalysis) -> DataFrame:
 
 @query
 def class_balance(a: RetailAnalysis) -> DataFrame:
-    return rounded(response.class_balance(response.in_split(a.dataset, "train")),
-                   "positive_weight")
+    return response.class_balance(response.in_split(a.dataset, "train"))
 
 
 @query
@@ -449,10 +443,7 @@ def customer_economics(a: RetailAnalysis) -> DataFrame:
 
 @query
 def offer_economics(a: RetailAnalysis) -> DataFrame:
-    columns = ("average_basket_value", "modeled_12_month_clv",
-               "expected_contribution_if_response", "break_even_offer_cost",
-               "modeled_expected_offer_value")
-    return rounded(a.offers, *columns)
+    return rounded(a.offers, "modeled_12_month_clv")
 
 
 @query
@@ -528,7 +519,7 @@ def customer_profiles(a: RetailAnalysis) -> DataFrame:
 @query
 def campaign_totals_by_type(a: RetailAnalysis) -> DataFrame:
     covered = marts.covered_campaigns(a.campaigns, a.tables.redemptions)
-    return rounded(marts.campaign_totals_by_type(covered), "pooled_redemption_rate")
+    return marts.campaign_totals_by_type(covered)
 
 
 @query
@@ -559,15 +550,14 @@ def segment_statistics(a: RetailAnalysis) -> DataFrame:
 
 @query
 def offer_slice(a: RetailAnalysis) -> DataFrame:
-    return rounded(marts.offer_slice(a.offers), "mean_response_probability",
-                   "share_above_zero", "share_below_zero")
+    return rounded(marts.offer_slice(a.offers), "mean_response_probability")
 
 
 @query
 def described_offers(a: RetailAnalysis) -> DataFrame:
-    return rounded(marts.described_offers(a.offers, a.campaigns).select(
+    return marts.described_offers(a.offers, a.campaigns).select(
         "household_key", "CAMPAIGN", "campaign_type", "START_DAY", "END_DAY",
-        "calibrated_response_probability", "break_even_offer_cost"), "break_even_offer_cost")
+        "calibrated_response_probability", "break_even_offer_cost")
 
 
 @query
@@ -590,7 +580,7 @@ def customer_lookup(a: RetailAnalysis) -> DataFrame:
 @query
 def campaign_lookup(a: RetailAnalysis) -> DataFrame:
     requests = a.tables.source("supplier").select(F.col("s_suppkey").alias("CAMPAIGN"))
-    return rounded(lookups.campaign_lookup(requests, a.campaigns), "descriptive_redemption_rate")
+    return lookups.campaign_lookup(requests, a.campaigns)
 
 
 @query
@@ -601,8 +591,7 @@ def rank_customers(a: RetailAnalysis) -> DataFrame:
 
 @query
 def rank_campaigns(a: RetailAnalysis) -> DataFrame:
-    return rounded(lookups.rank_campaigns(a.campaigns, a.tables.redemptions),
-                   "descriptive_redemption_rate")
+    return lookups.rank_campaigns(a.campaigns, a.tables.redemptions)
 
 
 @query
@@ -612,9 +601,7 @@ def model_metrics(a: RetailAnalysis) -> DataFrame:
 
 @query
 def offer_lookup(a: RetailAnalysis) -> DataFrame:
-    found = lookups.offer_lookup(a.offers, campaign=20)
-    return rounded(found, "expected_contribution_if_response", "break_even_offer_cost",
-                   "modeled_expected_offer_value")
+    return lookups.offer_lookup(a.offers, campaign=20)
 
 
 def question_table(tables: RetailTables) -> DataFrame:
