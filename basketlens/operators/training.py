@@ -81,13 +81,13 @@ def _next_day(entity: str, lookback: int, counted: Column | None = None) -> Colu
 
 def days_of_interest(df: DataFrame, campaigns: DataFrame, lookback: int) -> DataFrame:
     """Drop days that no campaign's lookback window can reach, ahead of any shuffle."""
-    first = campaigns.agg(F.min("START_DAY") - lookback).scalar()
-    last = campaigns.agg(F.max("START_DAY")).scalar()
-    return df.where(between_days(F.col("DAY"), first, last))
+    reach = campaigns.agg(F.struct(
+        (F.min("START_DAY") - lookback).alias("first"), F.max("START_DAY").alias("last"))).scalar()
+    return df.where(between_days(F.col("DAY"), reach["first"], reach["last"]))
 
 
 def history_ledger(transactions: DataFrame, products: DataFrame, redemptions: DataFrame,
-                   spine: DataFrame, lookback: int) -> DataFrame:
+                   assigned: DataFrame, lookback: int) -> DataFrame:
     """Everything a lookback window needs, reduced to household days.
 
     Distinct counts over a moving window need no distinct at window time: an
@@ -131,7 +131,7 @@ def history_ledger(transactions: DataFrame, products: DataFrame, redemptions: Da
     any_campaign = redeemed.groupBy("household_key", "DAY").agg(
         F.sum("redeemed").alias("redeemed"))
     earlier_campaign = (redeemed.join(
-        spine.select(*KEYS, F.col("START_DAY").alias("earlier_start")), KEYS)
+        assigned.select(*KEYS, F.col("START_DAY").alias("earlier_start")), KEYS)
         .groupBy("household_key", "DAY", "earlier_start")
         .agg(F.sum("redeemed").alias("redeemed_earlier")))
 
@@ -143,6 +143,8 @@ def response_dataset(campaigns: DataFrame, assignments: DataFrame, transactions:
                      products: DataFrame, redemptions: DataFrame, plan: SplitPlan) -> DataFrame:
     """One row per assigned (household, campaign) with history and an observable label."""
     n = plan.lookback
+    spans = campaigns.select("CAMPAIGN", "START_DAY", "END_DAY")
+    assigned = assignments.select(*KEYS).join(spans, "CAMPAIGN")
     exposures = exposure_spine(campaigns, assignments, redemptions, plan)
     # Earlier exposures of the household: a frame over its own campaigns, no self-join.
     earlier = (Window.partitionBy("household_key").orderBy("START_DAY").rangeBetween(-n, -1))
@@ -152,7 +154,7 @@ def response_dataset(campaigns: DataFrame, assignments: DataFrame, transactions:
 
     ledger = history_ledger(
         days_of_interest(transactions, campaigns, n), products,
-        days_of_interest(redemptions, campaigns, n), exposures, n).alias("past")
+        days_of_interest(redemptions, campaigns, n), assigned, n).alias("past")
     day, start = F.col("past.DAY"), F.col("now.START_DAY")
 
     def last_seen(count: str, again: str) -> Column:
@@ -188,7 +190,7 @@ def response_dataset(campaigns: DataFrame, assignments: DataFrame, transactions:
             .alias("prior_campaign_redemption_count"))
         .where(F.col("lines") > 0))
 
-    outcome = interval_redemptions(spine, redemptions)
+    outcome = interval_redemptions(assigned, redemptions)
     return (history.join(outcome, KEYS, "left")
             .withColumns({
                 "historical_purchase_frequency": F.col("historical_basket_count") / n,

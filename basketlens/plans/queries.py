@@ -16,7 +16,7 @@ from basketlens.operators import (
 from basketlens.plans.retail import RetailAnalysis
 from basketlens.settings import FeatureWindows, QualityRules
 from basketlens.sources import readers, sinks
-from basketlens.sources.adapter import RetailTables
+from basketlens.sources.adapter import RetailTables, prepared_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -30,7 +30,7 @@ CENSUS_RULES = QualityRules(
 def query(build: Callable[[RetailAnalysis], DataFrame]) -> Callable:
     """Register a query that starts from the default analysis of a folder."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(RetailAnalysis(RetailTables(spark, folder)))
+        return build(RetailAnalysis(prepared_tables(spark, folder)))
 
     REGISTRY[build.__name__] = run
     return build

@@ -8,11 +8,14 @@ margin of 20 days, holds the line's day.  Money is exact decimal.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from basketlens.sources.sinks import shared_folder, stored
+
 FIRST_DATE = "1995-01-01"
 LAST_REDEMPTION_DAY = 1990
 REDEMPTION_MARGIN = 20
@@ -127,5 +130,45 @@ class RetailTables:
         return self.source("documents").select("doc_id", "text", F.col("source").alias("title"))
 
 
+class PreparedTables(RetailTables):
+    """The derived tables, written once per session and then read as stored tables.
+
+    Transaction files are spread evenly by hash and sorted by day inside, so that
+    day windows skip row groups and a crowded day or household splits over files.
+    """
+
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        folder = hashlib.md5(self.folder.encode()).hexdigest()
+        return stored(df, f"retail-{folder}/{name}")
+
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return self._stored("campaigns", super().campaigns)
+
+    @cached_property
+    def assignments(self) -> DataFrame:
+        return self._stored("assignments", super().assignments)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        lines = super().transactions.repartition("DAY", "BASKET_ID")
+        return self._stored("transactions", lines.sortWithinPartitions("DAY"))
+
+    @cached_property
+    def redemptions(self) -> DataFrame:
+        return self._stored("redemptions", super().redemptions)
+
+
+_PREPARED: dict[tuple[str, str], PreparedTables] = {}
+
+
+def prepared_tables(spark: SparkSession, folder: str) -> PreparedTables:
+    """The stored tables of a folder, derived on first use within a session."""
+    key = (shared_folder(spark), folder)
+    if key not in _PREPARED:
+        _PREPARED[key] = PreparedTables(spark, folder)
+    return _PREPARED[key]
+
+
 def _brand_number() -> Column:
     return F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
