@@ -1,7 +1,7 @@
 """Classifier evaluation: ranking, threshold and calibration metrics per group.
 
-All metrics start from one row per (group, distinct score), so ties need no
-special case and a score shared by many rows is a single row.
+All metrics are computed from one row per (group, distinct score), so ties need
+no special case and a score shared by many rows is a single row.
 """
 
 from __future__ import annotations
@@ -27,17 +27,23 @@ def long_scores(df: DataFrame, scores: dict[str, str], keep: Sequence[str]) -> D
     return named.unpivot(list(keep), list(scores), "score_kind", "score")
 
 
-def ranking_metrics(scored: DataFrame, groups: Sequence[str], score: str = "score",
-                    label: str = "target_redeemed") -> DataFrame:
-    """ROC-AUC with averaged ties and average precision at distinct thresholds.
+def score_counts(scored: DataFrame, groups: Sequence[str], score: str = "score",
+                 label: str = "target_redeemed") -> DataFrame:
+    """Rows and positives per group and distinct score: all that any metric needs.
 
-    Cumulative counts are taken in two levels, within narrow probability bands
-    and over the bands, so no task ever orders all scores of a group.
+    Every metric below reads this one aggregate, so evaluating costs a single
+    shuffle of the scores, and plans that combine metrics reuse it.
     """
-    groups = list(groups)
-    distinct = scored.groupBy(*groups, F.col(score).alias("score")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos")
-    ).withColumn("band", F.greatest(F.lit(0), F.least(
+    return scored.groupBy(*groups, F.col(score).alias("score")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
+
+
+def _ranking(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """Cumulative counts in two levels: within narrow bands of scores and over bands.
+
+    No task ever orders all scores of a group.
+    """
+    distinct = counts.withColumn("band", F.greatest(F.lit(0), F.least(
         F.floor(F.col("score") * SCORE_BANDS), F.lit(SCORE_BANDS - 1))))
     whole = Window.partitionBy(*groups)
     higher = (whole.orderBy(F.desc("band"))
@@ -72,49 +78,68 @@ def ranking_metrics(scored: DataFrame, groups: Sequence[str], score: str = "scor
         .otherwise(F.lit(float("nan"))).alias("pr_auc_average_precision"))
 
 
+def ranking_metrics(scored: DataFrame, groups: Sequence[str], score: str = "score",
+                    label: str = "target_redeemed") -> DataFrame:
+    """ROC-AUC with averaged ties and average precision at distinct thresholds."""
+    return _ranking(score_counts(scored, groups, score, label), list(groups))
+
+
 def _ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator).otherwise(0.0)
 
 
-def threshold_metrics(scored: DataFrame, groups: Sequence[str], threshold: float = 0.5,
-                      score: str = "score", label: str = "target_redeemed",
-                      eps: float = 1e-12) -> DataFrame:
-    """Confusion counts, rates and probability errors in one aggregation."""
-    p, y = F.col(score), F.col(label)
+def mean_log_loss(eps: float) -> Column:
+    """Log loss as an aggregate over score counts."""
+    p, pos, n = F.col("score"), F.col("pos"), F.col("n")
+    return F.sum(pos * log_loss(p, F.lit(1), eps)
+                 + (n - pos) * log_loss(p, F.lit(0), eps)) / F.sum("n")
+
+
+def _thresholds(counts: DataFrame, groups: list[str], threshold: float,
+                eps: float) -> DataFrame:
+    p, n, pos = F.col("score"), F.col("n"), F.col("pos")
     called = p >= threshold
-    counts = scored.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~called & (y == 0)).alias("true_negative"),
-        F.count_if(called & (y == 0)).alias("false_positive"),
-        F.count_if(~called & (y == 1)).alias("false_negative"),
-        F.count_if(called & (y == 1)).alias("true_positive"),
-        F.avg(p).alias("mean_predicted_probability"),
-        F.avg(y).alias("actual_positive_rate"),
-        F.avg((p - y) * (p - y)).alias("brier_score"),
-        F.avg(log_loss(p, y, eps)).alias("log_loss"))
-    tp, tn = F.col("true_positive"), F.col("true_negative")
+
+    def total(condition: Column, amount: Column) -> Column:
+        return F.sum(F.when(condition, amount).otherwise(0))
+
+    squared = pos * (p - 1) * (p - 1) + (n - pos) * p * p
+    sums = counts.groupBy(*groups).agg(
+        F.sum("n").alias("observations"),
+        total(~called, n - pos).alias("true_negative"),
+        total(called, n - pos).alias("false_positive"),
+        total(~called, pos).alias("false_negative"),
+        total(called, pos).alias("true_positive"),
+        (F.sum(p * n) / F.sum("n")).alias("mean_predicted_probability"),
+        (F.sum("pos") / F.sum("n")).alias("actual_positive_rate"),
+        (F.sum(squared) / F.sum("n")).alias("brier_score"),
+        mean_log_loss(eps).alias("log_loss"))
+    tp, rows = F.col("true_positive"), F.col("observations")
     predicted = tp + F.col("false_positive")
     precision, recall = _ratio(tp, predicted), _ratio(tp, tp + F.col("false_negative"))
-    return counts.withColumns({
-        "accuracy": (tp + tn) / F.col("n"),
+    return sums.withColumns({
+        "accuracy": (tp + F.col("true_negative")) / rows,
         "precision": precision,
         "recall": recall,
         "f1": _ratio(2 * precision * recall, precision + recall),
-        "positive_prediction_rate": predicted / F.col("n"),
+        "positive_prediction_rate": predicted / rows,
         "threshold": F.lit(float(threshold)),
-    }).select(*groups, F.col("n").alias("observations"), "threshold", *THRESHOLD_METRICS)
+    }).select(*groups, "observations", "threshold", *THRESHOLD_METRICS)
 
 
-def reliability_bins(scored: DataFrame, groups: Sequence[str], bins: int = 10,
-                     edges: Sequence[float] | None = None, score: str = "score",
-                     label: str = "target_redeemed") -> DataFrame:
-    """Fixed-width reliability bins, empty ones included with null means."""
-    groups = list(groups)
-    edges = list(edges) if edges is not None else unit_edges(bins)
-    filled = scored.groupBy(*groups, bin_of(F.col(score), edges).alias("bin")).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg(score).alias("mean_predicted_probability"),
-        F.avg(label).alias("observed_redemption_rate"))
+def threshold_metrics(scored: DataFrame, groups: Sequence[str], threshold: float = 0.5,
+                      score: str = "score", label: str = "target_redeemed",
+                      eps: float = 1e-12) -> DataFrame:
+    """Confusion counts, rates and probability errors in one aggregation."""
+    return _thresholds(score_counts(scored, groups, score, label), list(groups), threshold, eps)
+
+
+def _reliability(counts: DataFrame, groups: list[str], edges: list[float]) -> DataFrame:
+    rows = F.sum("n")
+    filled = counts.groupBy(*groups, bin_of(F.col("score"), edges).alias("bin")).agg(
+        rows.alias("count"),
+        (F.sum(F.col("score") * F.col("n")) / rows).alias("mean_predicted_probability"),
+        (F.sum("pos") / rows).alias("observed_redemption_rate"))
     last = len(edges) - 2
     frame = filled.select(*groups).distinct().select(
         *groups, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("bin"))
@@ -128,6 +153,14 @@ def reliability_bins(scored: DataFrame, groups: Sequence[str], bins: int = 10,
         "mean_predicted_probability", "observed_redemption_rate")
 
 
+def reliability_bins(scored: DataFrame, groups: Sequence[str], bins: int = 10,
+                     edges: Sequence[float] | None = None, score: str = "score",
+                     label: str = "target_redeemed") -> DataFrame:
+    """Fixed-width reliability bins, empty ones included with null means."""
+    return _reliability(score_counts(scored, groups, score, label), list(groups),
+                        list(edges) if edges is not None else unit_edges(bins))
+
+
 def calibration_error(bins: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Expected calibration error from reliability bins."""
     gap = F.abs(F.col("mean_predicted_probability") - F.col("observed_redemption_rate"))
@@ -140,11 +173,19 @@ def full_report(scored: DataFrame, groups: Sequence[str], threshold: float = 0.5
                 label: str = "target_redeemed") -> DataFrame:
     """All metrics, one row per group."""
     groups = list(groups)
-    error = calibration_error(reliability_bins(scored, groups, bins, score=score, label=label),
-                              groups)
-    return (threshold_metrics(scored, groups, threshold, score, label)
-            .join(ranking_metrics(scored, groups, score, label), groups)
-            .join(error, groups))
+    counts = score_counts(scored, groups, score, label)
+    error = calibration_error(_reliability(counts, groups, unit_edges(bins)), groups)
+    return (_thresholds(counts, groups, threshold, 1e-12)
+            .join(_ranking(counts, groups), groups).join(error, groups))
+
+
+def loss_and_precision(scored: DataFrame, groups: Sequence[str], eps: float) -> DataFrame:
+    """Log loss and average precision per group."""
+    groups = list(groups)
+    counts = score_counts(scored, groups)
+    precision = _ranking(counts, groups).select(
+        *groups, F.col("pr_auc_average_precision").alias("precision"))
+    return counts.groupBy(*groups).agg(mean_log_loss(eps).alias("loss")).join(precision, groups)
 
 
 def ranking_change(report: DataFrame, groups: Sequence[str]) -> DataFrame:

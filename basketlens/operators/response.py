@@ -16,8 +16,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketlens.contracts import RESPONSE_FEATURES
-from basketlens.functions.probability import log_loss, platt, sigmoid
-from basketlens.operators.evaluation import ranking_metrics
+from basketlens.functions.probability import platt, sigmoid
+from basketlens.operators.evaluation import loss_and_precision
 
 
 def in_split(dataset: DataFrame, split: str) -> DataFrame:
@@ -264,21 +264,15 @@ def permutation_importance(validation: DataFrame, standardizer: Standardizer,
     ``digits`` rounds scores first, so that engines that sum in different
     orders agree on which scores are tied.
     """
-    eps = 1e-7
-
     def measure(scored: DataFrame, groups: list[str]) -> DataFrame:
         if digits is not None:
             scored = scored.withColumn("score", F.round("score", digits))
-        loss = scored.groupBy(*groups).agg(
-            F.avg(log_loss(F.col("score"), F.col("target_redeemed"), eps)).alias("loss"))
-        precision = ranking_metrics(scored, groups).select(
-            *groups, F.col("pr_auc_average_precision").alias("precision"))
-        return loss.join(precision, groups)
+        return loss_and_precision(scored, groups, eps=1e-7)
 
     plain = score(validation, standardizer, network, keep=["target_redeemed"]).select(
         "target_redeemed", F.col("raw_probability").alias("score"), F.lit(0).alias("base"))
-    base = measure(plain, ["base"])
-    base_loss, base_precision = (base.select(name).scalar() for name in ("loss", "precision"))
+    base = measure(plain, ["base"]).select(F.struct("loss", "precision")).scalar()
+    base_loss, base_precision = base["loss"], base["precision"]
     permuted = measure(
         permuted_scores(validation, standardizer, network, key, repeats, seed, buckets),
         ["feature", "repeat"])

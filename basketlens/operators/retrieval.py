@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketlens.functions.text import tokens
 
@@ -24,23 +24,29 @@ def tokenize(documents: DataFrame, key: str, text: str) -> DataFrame:
     return documents.select(key, F.posexplode(tokens(F.col(text))).alias("position", "term"))
 
 
-def document_tokens(documents: DataFrame) -> DataFrame:
-    """Token arrays over text and title, with the document's length."""
-    body = F.concat_ws(" ", F.coalesce("text", F.lit("")), F.coalesce("title", F.lit("")))
-    return documents.select("doc_id", tokens(body).alias("terms")).withColumn(
-        "length", F.size("terms"))
+def _body_tokens() -> Column:
+    return tokens(F.concat_ws(" ", F.coalesce("text", F.lit("")), F.coalesce("title", F.lit(""))))
+
+
+def _occurrences(documents: DataFrame) -> DataFrame:
+    """One row per token of text and title, with the document's length in tokens."""
+    return documents.select("doc_id", _body_tokens().alias("terms")).select(
+        "doc_id", F.size("terms").alias("length"), F.explode("terms").alias("term"))
+
+
+def _frequencies(occurrences: DataFrame) -> DataFrame:
+    return occurrences.groupBy("doc_id", "term", "length").agg(
+        F.count(F.lit(1)).alias("frequency"))
 
 
 def postings(documents: DataFrame) -> DataFrame:
     """Term frequency per document, with the document's length."""
-    return (document_tokens(documents)
-            .select("doc_id", "length", F.explode("terms").alias("term"))
-            .groupBy("doc_id", "term", "length").agg(F.count(F.lit(1)).alias("frequency")))
+    return _frequencies(_occurrences(documents))
 
 
 def collection_statistics(documents: DataFrame) -> DataFrame:
-    """Number of documents and mean length; one row."""
-    return document_tokens(documents).agg(
+    """Number of documents and mean length; one row, no shuffle of texts or tokens."""
+    return documents.select(F.size(_body_tokens()).alias("length")).agg(
         F.count(F.lit(1)).alias("documents"), F.avg("length").alias("average_length"))
 
 
@@ -53,17 +59,19 @@ def search(documents: DataFrame, queries: DataFrame, settings: Bm25 = Bm25(),
            query_key: str = "item_id") -> DataFrame:
     """The best documents per query: score descending, then document key.
 
-    Terms outside all queries leave before the postings shuffle.  The top-k
+    Tokens that no query asks for leave before the postings shuffle.  The top-k
     filter on the rank lets every task keep only its k best rows per query
     ahead of the exchange, so a query matching most documents stays spread.
     """
     asked = (queries.select(F.col(query_key).alias("query_id"),
                             F.explode(tokens(F.col("text"))).alias("term"))
              .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("repeats")))
-    stats = collection_statistics(documents)
-    total = stats.select("documents").scalar()
-    mean_length = F.greatest(stats.select("average_length").scalar(), F.lit(1.0))
-    index = postings(documents).join(asked.select("term").distinct(), "term", "left_semi")
+    collection = collection_statistics(documents).select(
+        F.struct("documents", "average_length")).scalar()
+    total, mean_length = collection["documents"], F.greatest(
+        collection["average_length"], F.lit(1.0))
+    index = _frequencies(_occurrences(documents).join(
+        asked.select("term").distinct(), "term", "left_semi"))
     df = F.col("document_frequency")
     weighted = asked.join(term_statistics(index), "term").withColumn(
         "idf", F.ln(1 + (total - df + 0.5) / (df + 0.5)))

@@ -541,7 +541,7 @@ SELECT data_split, score_kind, observations, threshold, round(accuracy, 6) AS ac
 FROM quarter_rates""")
 oracle("reliability_bins", rounded(
     "model_bins", "lower_inclusive", "upper_bound", "mean_predicted_probability",
-    "observed_redemption_rate"))
+    "observed_redemption_rate", digits=10))
 oracle("model_report", f"SELECT data_split, score_kind, observations, {_REPORT_SQL} FROM model_report")
 oracle("baseline_report", f"SELECT data_split, score_kind, observations, {_REPORT_SQL} FROM base_report")
 oracle("model_metrics", f"""

@@ -359,10 +359,11 @@ def threshold_metrics(a: RetailAnalysis) -> DataFrame:
 
 @query
 def reliability_bins(a: RetailAnalysis) -> DataFrame:
+    # Means over few six-digit scores end in a 5 too often for a coarser rounding.
     return rounded(
         evaluation.reliability_bins(a.long_scores, ["data_split", "score_kind"]),
         "lower_inclusive", "upper_bound", "mean_predicted_probability",
-        "observed_redemption_rate")
+        "observed_redemption_rate", digits=10)
 
 
 REPORT_DOUBLES = (
