@@ -55,13 +55,13 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     Rows shuffle as a 64-bit hash with their count.  Rows that share a hash
     are then compared in full, so a hash collision is not taken for a copy.
     """
-    columns = list(columns or df.columns)
-    hashed = df.select(*columns).withColumn("row_hash", F.xxhash64(*columns))
-    repeated = (hashed.groupBy("row_hash").agg(F.count(F.lit(1)).alias("n"))
-                .where("n > 1").select("row_hash"))
-    surplus = (hashed.join(repeated, "row_hash", "left_semi")
-               .groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("extra")))
-    return surplus.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_rows"))
+    columns = [_quoted(name) for name in columns or df.columns]
+    hashed = df.select(*columns, F.xxhash64(*columns).alias("__row_hash"))
+    repeated = (hashed.groupBy("__row_hash").agg(F.count(F.lit(1)).alias("__rows"))
+                .where("__rows > 1").select("__row_hash"))
+    surplus = (hashed.join(repeated, "__row_hash", "left_semi")
+               .groupBy(*columns).agg((F.count(F.lit(1)) - 1).alias("__extra")))
+    return surplus.agg(F.coalesce(F.sum("__extra"), F.lit(0)).alias("duplicate_rows"))
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -145,8 +145,15 @@ def inference_drift(as_text: DataFrame, inferred: DataFrame) -> DataFrame:
 
 
 def corrupt_records(df: DataFrame, column: str = "_corrupt_record") -> DataFrame:
-    """Lines that did not fit the contract a CSV was read with; one row."""
-    return df.agg(F.count(column).alias("corrupt_records"))
+    """Lines that did not fit the contract of a CSV read, and values that did; one row.
+
+    Counting the parsed values keeps every column in the scan, without which the
+    parser would not notice what is wrong with a line.
+    """
+    values = [F.col(_quoted(name)).isNotNull().cast("int") for name in df.columns
+              if name != column]
+    return df.agg(F.count(column).alias("corrupt_records"),
+                  F.sum(reduce(lambda a, b: a + b, values)).alias("parsed_values"))
 
 
 def inspect_table(name: str, typed: DataFrame, as_text: DataFrame, rules: QualityRules,

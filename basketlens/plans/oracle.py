@@ -926,3 +926,66 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, do
             GROUP BY query_id, doc_id)
       WHERE score > 0)
 WHERE place <= 4""")
+
+# Chunks: a recursive walk over the paragraphs of each section
+
+_SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]"
+
+
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+
+
+def _chunk_steps(name: str, source: str, size: int) -> None:
+    breaks = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+    step(f"{name}_sections", f"""
+SELECT doc_id, title, place, {_strip("part")} AS section
+FROM (SELECT doc_id, title, unnest(parts) AS part, unnest(range(len(parts))) AS place
+      FROM (SELECT doc_id, title, string_split(
+              replace(regexp_replace(text, '{breaks}', chr(10), 'g'), chr(10) || '#', chr(1) || '#'),
+              chr(1)) AS parts FROM {source}))""")
+    step(f"{name}_paragraphs", f"""
+SELECT doc_id, title, place, string_split(section, chr(10) || chr(10)) AS parts
+FROM {name}_sections WHERE length(section) > {size}""")
+    fits = f"(held = '' OR length(held) + length(p) + 2 <= {size})"
+    pieces = (f"[substr(p, CAST(k * {size} + 1 AS BIGINT), {size}) "
+              f"for k in range(CAST(ceil(length(p) / {size}) AS BIGINT))]")
+    step(f"{name}_walk", f"""
+SELECT doc_id, title, place, parts, CAST(0 AS BIGINT) AS spot, CAST('' AS VARCHAR) AS held,
+       CAST([] AS VARCHAR[]) AS out FROM {name}_paragraphs
+UNION ALL
+SELECT doc_id, title, place, parts, spot + 1,
+       CASE WHEN length(p) > {size} THEN CASE WHEN {fits} THEN held ELSE '' END
+            ELSE {_strip(f"(CASE WHEN {fits} THEN held ELSE '' END) || chr(10) || chr(10) || p")} END,
+       list_concat(CASE WHEN {fits} THEN CAST([] AS VARCHAR[]) ELSE [held] END,
+                   CASE WHEN length(p) > {size} THEN {pieces} ELSE CAST([] AS VARCHAR[]) END)
+FROM (SELECT *, parts[spot + 1] AS p FROM {name}_walk WHERE spot < len(parts))""")
+    step(f"{name}_texts", f"""
+SELECT doc_id, title, place, spot, unnest(out) AS text, unnest(range(len(out))) AS k FROM {name}_walk
+UNION ALL SELECT doc_id, title, place, spot + 1, held, 0 FROM {name}_walk
+WHERE spot = len(parts) AND held <> ''
+UNION ALL SELECT doc_id, title, place, 0, section, 0 FROM {name}_sections
+WHERE section <> '' AND length(section) <= {size}""")
+
+
+def _chunk_oracle(name: str, prefix: str) -> None:
+    heading = "regexp_extract(text, '(?m)^(#.*)$', 1)"
+    ORACLE[name] = statement(f"""
+SELECT doc_id, doc_id || '-' || chunk_index AS chunk_id, chunk_index,
+       CASE WHEN {heading} = '' THEN title
+            ELSE {_strip(f"regexp_replace({heading}, '^[# ]+', '')")} END AS chunk_title,
+       title AS source, CAST(NULL AS VARCHAR) AS category, text
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY place, spot, k) - 1 AS INTEGER)
+             AS chunk_index FROM {prefix}_texts)""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+step("document_source", "SELECT doc_id, text, source AS title FROM documents")
+step("turn_source", """
+SELECT conv_id * 1000 + turn AS doc_id,
+       '## Turn ' || turn || ' by ' || role || chr(10) || chr(10)
+       || replace(text, chr(10), chr(10) || chr(10)) AS text, 'conversation' AS title
+FROM conversations""")
+_chunk_steps("document", "document_source", 1400)
+_chunk_steps("turn", "turn_source", 200)
+_chunk_oracle("document_chunks", "document")
+_chunk_oracle("conversation_chunks", "turn")
