@@ -257,10 +257,12 @@ def permuted_scores(validation: DataFrame, standardizer: Standardizer, network:
 
 def permutation_importance(validation: DataFrame, standardizer: Standardizer,
                            network: FeedForward, key: Sequence[str] = ("household_key", "CAMPAIGN"),
-                           repeats: int = 10, seed: int = 20260929, buckets: int = 1,
+                           repeats: int = 10, seed: int = 20260929,
+                           bucket_rows: int = 1_000_000,
                            digits: int | None = None) -> DataFrame:
     """Drop in average precision and rise in log loss when a feature is permuted.
 
+    Rows are permuted within random buckets of about ``bucket_rows`` rows.
     ``digits`` rounds scores first, so that engines that sum in different
     orders agree on which scores are tied.
     """
@@ -273,6 +275,7 @@ def permutation_importance(validation: DataFrame, standardizer: Standardizer,
         "target_redeemed", F.col("raw_probability").alias("score"), F.lit(0).alias("base"))
     base = measure(plain, ["base"]).select(F.struct("loss", "precision")).scalar()
     base_loss, base_precision = base["loss"], base["precision"]
+    buckets = max(1, math.ceil(validation.count() / bucket_rows))
     permuted = measure(
         permuted_scores(validation, standardizer, network, key, repeats, seed, buckets),
         ["feature", "repeat"])

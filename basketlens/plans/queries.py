@@ -27,10 +27,21 @@ CENSUS_RULES = QualityRules(
     dates={"o_orderdate": "yyyy-MM-dd", "o_orderstatus": "yyyy-MM-dd"}, max_null_rate=0.2)
 
 
+_ANALYSES: dict[tuple[str, str], RetailAnalysis] = {}
+
+
+def analysis_of(spark: SparkSession, folder: str) -> RetailAnalysis:
+    """The default analysis of a folder; its stored training set serves a whole session."""
+    key = (sinks.shared_folder(spark), folder)
+    if key not in _ANALYSES:
+        _ANALYSES[key] = RetailAnalysis(prepared_tables(spark, folder))
+    return _ANALYSES[key]
+
+
 def query(build: Callable[[RetailAnalysis], DataFrame]) -> Callable:
     """Register a query that starts from the default analysis of a folder."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(RetailAnalysis(prepared_tables(spark, folder)))
+        return build(analysis_of(spark, folder))
 
     REGISTRY[build.__name__] = run
     return build
@@ -304,7 +315,7 @@ def class_balance(a: RetailAnalysis) -> DataFrame:
 @query
 def standardized_features(a: RetailAnalysis) -> DataFrame:
     s = a.standardizer
-    return a.stable_dataset.select(
+    return a.stored_dataset.select(
         "household_key", "CAMPAIGN",
         *[F.round(s.column(name), 6).alias(name) for name in s.features])
 
@@ -318,8 +329,8 @@ def frozen_network_scores(a: RetailAnalysis) -> DataFrame:
 def _fit_report(a: RetailAnalysis, fit: Callable) -> DataFrame:
     """Fit on training rows, calibrate on validation rows, report on all splits."""
     s = a.standardizer
-    model = fit(response.in_split(a.stable_dataset, "train"), s)
-    scored = response.apply_model(a.stable_dataset, s, model)
+    model = fit(response.in_split(a.stored_dataset, "train"), s)
+    scored = response.apply_model(a.stored_dataset, s, model)
     calibrator = response.fit_calibrator(response.in_split(scored, "validation"))
     both = scored.withColumn("calibrated", calibrator.probability(F.col("logit")))
     long = evaluation.long_scores(both, {"raw": "raw_probability", "calibrated": "calibrated"},
@@ -395,7 +406,7 @@ def baseline_report(a: RetailAnalysis) -> DataFrame:
 @query
 def permutation_importance(a: RetailAnalysis) -> DataFrame:
     result = response.permutation_importance(
-        response.in_split(a.stable_dataset, "validation"), a.standardizer, a.network,
+        response.in_split(a.stored_dataset, "validation"), a.standardizer, a.network,
         repeats=3, digits=6)
     return rounded(result, "mean_average_precision_decrease", "std_average_precision_decrease",
                    "mean_log_loss_increase")

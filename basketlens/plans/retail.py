@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Protocol
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,7 +15,7 @@ from basketlens.operators import evaluation, features, quality, response, traini
 from basketlens.operators.response import Calibrator, FeedForward, Standardizer
 from basketlens.plans.frozen import FROZEN_CALIBRATOR, FROZEN_NETWORK
 from basketlens.settings import FeatureWindows, FinanceAssumptions, SensitivityGrid, SplitPlan
-from basketlens.sources.sinks import stable, write_parquet
+from basketlens.sources.sinks import stored, write_parquet
 
 SCORE_DIGITS = 6
 
@@ -77,19 +78,19 @@ class RetailAnalysis:
                                          t.redemptions, self.plan)
 
     @cached_property
-    def stable_dataset(self) -> DataFrame:
-        """The training set, computed once for the several jobs of fitting and scoring."""
-        return stable(self.dataset)
+    def stored_dataset(self) -> DataFrame:
+        """The training set, written once by split for all fitting, scoring and reporting."""
+        return stored(self.dataset, f"response-{uuid4().hex}", ["data_split"])
 
     @cached_property
     def standardizer(self) -> Standardizer:
-        return Standardizer.fit(response.in_split(self.stable_dataset, "train"))
+        return Standardizer.fit(response.in_split(self.stored_dataset, "train"))
 
     @cached_property
     def scores(self) -> DataFrame:
         """Raw and calibrated probabilities with labels, for evaluation."""
         scored = response.score(
-            self.stable_dataset, self.standardizer, self.network, self.calibrator,
+            self.stored_dataset, self.standardizer, self.network, self.calibrator,
             keep=["household_key", "CAMPAIGN", "START_DAY", "data_split",
                   "prior_coupon_redemption_count", "target_redeemed"])
         return scored.withColumns({
@@ -110,7 +111,7 @@ class RetailAnalysis:
     @cached_property
     def baseline_report(self) -> DataFrame:
         scored = evaluation.long_scores(
-            evaluation.baseline_scores(self.stable_dataset), evaluation.BASELINES,
+            evaluation.baseline_scores(self.stored_dataset), evaluation.BASELINES,
             ["data_split", "target_redeemed"])
         return evaluation.full_report(scored, ["data_split", "score_kind"])
 
@@ -121,7 +122,7 @@ class RetailAnalysis:
     @cached_property
     def held_out_scores(self) -> DataFrame:
         """Calibrated test scores; the label is not read."""
-        test = response.in_split(self.stable_dataset, "test")
+        test = response.in_split(self.stored_dataset, "test")
         scored = response.score(test, self.standardizer, self.network, self.calibrator,
                                 keep=["household_key", "CAMPAIGN", "START_DAY"])
         return scored.select(
@@ -138,7 +139,7 @@ class RetailAnalysis:
         return {"customers": self.customers, "products": self.products,
                 "campaigns": self.campaigns, "campaign_households": self.campaign_households,
                 "customer_economics": self.economics, "offers": self.offers,
-                "model_rows": self.stable_dataset}
+                "model_rows": self.stored_dataset}
 
     @property
     def views(self) -> dict[str, DataFrame]:

@@ -41,15 +41,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table that many plans read below the shared folder, and read it from there.
 
-    Unlike a checkpoint it is columnar, so readers prune columns and skip row
-    groups by their filters.
+    Unlike a checkpoint it is columnar, so readers prune partitions and columns
+    and skip row groups by their filters.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def stable(df: DataFrame) -> DataFrame:
