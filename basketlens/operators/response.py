@@ -83,6 +83,15 @@ def class_balance(train: DataFrame) -> DataFrame:
         .otherwise(F.raise_error(F.lit("training data must hold both classes")).cast("double")))
 
 
+def _literals(values: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(value)) for value in values])
+
+
+def _dot(weights: Column, values: Column, start: Column) -> Column:
+    return F.aggregate(F.zip_with(weights, values, lambda weight, value: weight * value), start,
+                       lambda total, term: total + term)
+
+
 @dataclass(frozen=True)
 class FeedForward:
     """A frozen network with one ReLU layer, evaluated as a column expression."""
@@ -92,19 +101,25 @@ class FeedForward:
     output_weights: tuple[float, ...]
     output_bias: float
 
-    def logit(self, inputs: Column) -> Column:
-        def literal(values: Sequence[float]) -> Column:
-            return F.array(*[F.lit(float(v)) for v in values])
+    def preactivations(self, inputs: Column) -> Column:
+        """Weighted sums of the hidden units before the ReLU, as an array."""
+        units = F.array(*[F.struct(_literals(row).alias("w"), F.lit(float(bias)).alias("b"))
+                          for row, bias in zip(self.hidden_weights, self.hidden_bias)])
+        return F.transform(units, lambda unit: _dot(unit["w"], inputs, unit["b"]))
 
-        def dot(weights: Column, values: Column, start: Column) -> Column:
-            return F.aggregate(F.zip_with(weights, values, lambda w, v: w * v), start,
-                               lambda total, term: total + term)
+    def shifted(self, preactivations: Column, feature: Column, change: Column) -> Column:
+        """Preactivations after one input changed; costs one product per hidden unit."""
+        by_feature = F.array(*[_literals(column) for column in zip(*self.hidden_weights)])
+        return F.zip_with(preactivations, F.get(by_feature, feature),
+                          lambda total, weight: total + weight * change)
 
-        units = F.array(*[F.struct(literal(row).alias("w"), F.lit(float(bias)).alias("b"))
-                          for row, bias in zip(self.hidden_weights, self.hidden_bias)])
-        hidden = F.transform(units, lambda unit: F.greatest(
-            F.lit(0.0), dot(unit["w"], inputs, unit["b"])))
-        return dot(literal(self.output_weights), hidden, F.lit(float(self.output_bias)))
+    def head(self, preactivations: Column) -> Column:
+        """The logit of given preactivations."""
+        hidden = F.transform(preactivations, lambda total: F.greatest(F.lit(0.0), total))
+        return _dot(_literals(self.output_weights), hidden, F.lit(float(self.output_bias)))
+
+    def logit(self, inputs: Column) -> Column:
+        return self.head(self.preactivations(inputs))
 
 
 @dataclass(frozen=True)
@@ -232,7 +247,8 @@ def permuted_scores(validation: DataFrame, standardizer: Standardizer, network:
 
     A repeat orders rows by a seeded hash and hands each row its successor's
     inputs, the last row the first one's: a random cyclic permutation without
-    a self-join.  With ``buckets`` above 1 rows are permuted within random
+    a self-join.  Only the changed input is added to the hidden sums, which are
+    computed once per row.  With ``buckets`` above 1 rows are permuted within random
     buckets, so that a task orders one bucket of rows instead of all of them.
     """
     names = list(standardizer.features)
@@ -242,17 +258,18 @@ def permuted_scores(validation: DataFrame, standardizer: Standardizer, network:
     ring = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bucket = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
     rows = (validation.select(*key, "target_redeemed", standardizer.vector().alias("x"))
+            .withColumn("sums", network.preactivations(F.col("x")))
             .withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
             .withColumn("digest", digest).withColumn("bucket", bucket)
             .withColumn("donor", F.coalesce(F.lead("x").over(order), F.first("x").over(ring))))
     feature = F.col("feature_index")
-    swapped = F.transform("x", lambda value, i: F.when(
-        i == feature, F.get(F.col("donor"), i)).otherwise(value))
+    change = F.get("donor", feature) - F.get("x", feature)
+    shifted = network.shifted(F.col("sums"), feature, change)
     return (rows.withColumn("feature_index", F.explode(
                 F.sequence(F.lit(0), F.lit(len(names) - 1))))
             .select(*key, "repeat", "target_redeemed",
                     F.get(F.array(*[F.lit(n) for n in names]), feature).alias("feature"),
-                    sigmoid(network.logit(swapped)).alias("score")))
+                    sigmoid(network.head(shifted)).alias("score")))
 
 
 def permutation_importance(validation: DataFrame, standardizer: Standardizer,

@@ -51,8 +51,13 @@ def collection_statistics(documents: DataFrame) -> DataFrame:
 
 
 def term_statistics(index: DataFrame) -> DataFrame:
-    """Number of documents holding each term."""
-    return index.groupBy("term").agg(F.count(F.lit(1)).alias("document_frequency"))
+    """Number of documents holding each term.
+
+    Reading the frequency keeps this plan's postings the same as those that are
+    scored, so that a search builds and shuffles them once.
+    """
+    return index.groupBy("term").agg(
+        F.count_if(F.col("frequency") > 0).alias("document_frequency"))
 
 
 def search(documents: DataFrame, queries: DataFrame, settings: Bm25 = Bm25(),
