@@ -302,6 +302,14 @@ SELECT '{c}' AS column_name, count({c}) AS n, round(avg(CAST({c} AS DOUBLE)), 6)
        CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS p25, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS p50,
        CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS p75, CAST(max({c}) AS DOUBLE) AS max
 FROM part""" for c in ("p_partkey", "p_size", "p_retailprice")))
+oracle("transaction_schema", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", '{kind}' AS data_type, 'true' AS nullable, count(*) AS row_count,
+       count(*) FILTER ("{c}" IS NULL) AS null_count
+FROM tx""" for c, kind in (
+    ("household_key", "bigint"), ("BASKET_ID", "bigint"), ("DAY", "int"), ("PRODUCT_ID", "bigint"),
+    ("QUANTITY", "int"), ("SALES_VALUE", "decimal(18,4)"), ("STORE_ID", "bigint"),
+    ("RETAIL_DISC", "decimal(18,4)"), ("COUPON_DISC", "decimal(18,4)"),
+    ("COUPON_MATCH_DISC", "decimal(18,5)"), ("coupon_line", "boolean"))))
 _GATE = ("total_sales", "transaction_count", "average_basket_value", "total_quantity",
          "purchase_frequency", "recency_days")
 oracle("economics_gate", f"""

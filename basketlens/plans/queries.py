@@ -224,7 +224,11 @@ def observed_redemption_day(a: RetailAnalysis) -> DataFrame:
 
 @query
 def transaction_schema(a: RetailAnalysis) -> DataFrame:
-    return quality.schema_rows(a.tables.transactions)
+    """Types of the transaction columns with their observed rows and blanks."""
+    lines = a.tables.transactions
+    found = quality.column_profile(lines).select(
+        F.col("column_name").alias("column"), "row_count", "null_count")
+    return quality.schema_rows(lines).join(found, "column")
 
 
 @query
