@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # How identifiers and list lengths are written in questions.
 HOUSEHOLD = r"\b(?:household|customer|hh)(?:\s+key)?\s*#?\s*(\d+)\b"
 CAMPAIGN = r"\bcampaign(?:\s+id)?\s*#?\s*(\d+)\b"
 COUNT = r"\b(\d{1,3})\s+(?:customers|households|campaigns)\b"
-COUNT_WORD = r"\b(one|two|three|four|five|six|seven|eight|nine|ten)\s+(?:customers|households|campaigns)\b"
 NUMBER_WORDS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
+COUNT_WORD = r"\b(" + "|".join(NUMBER_WORDS) + r")\s+(?:customers|households|campaigns)\b"
+
+# The word stems that point to a topic.
+OFFER_DETAIL = ("offer", "economics", "break-even", "break even")
+OFFER = ("offer",)
+OFFER_VALUE = ("value", "economics", "break-even", "break even")
+CAMPAIGN_DETAIL = ("lookup", "details", "performance", "redemption", "spend", "campaign type")
+CAMPAIGN_WORD = ("campaign",)
+BEST = ("highest", "top", "rank", "best")
+REDEMPTION = ("redemption", "redeeming", "rate")
+MOST_VALUABLE = ("highest", "top", "rank", "customers with most")
+CUSTOMER_VALUE = ("clv", "customer value")
+LONG_HORIZON = ("24",)
+ASSUMPTION = ("assumption", "retention rate", "contribution margin", "discount rate")
+ASSUMPTION_USE = ("clv", "finance", "offer", "used", "configured")
+CALIBRATION = ("calibrat",)
+EXPLANATION = ("what does", "what is", "explain", "how does", "how is")
+MODEL = ("model", "roc-auc", "average precision", "calibration", "brier", "baseline", "evaluated")
 
 LARGEST_LIST = {"rank_customers": 100, "rank_campaigns": 30}
 
@@ -37,28 +56,19 @@ def tag_questions(questions: DataFrame, text_column: str = "question") -> DataFr
     asked = F.coalesce(_number(text, COUNT), F.when(spelled > 0, spelled),
                        F.lit(10)).cast("bigint")
 
-    offers = _mentions(text, "offer", "economics", "break-even", "break even")
-    explains_calibration = _mentions(text, "calibrat") & _mentions(
-        text, "what does", "what is", "explain", "how does", "how is")
-    tool = (
-        F.when(household.isNotNull() & offers, "offer_economics_lookup")
-        .when(household.isNotNull(), "customer_lookup")
-        .when(campaign.isNotNull() & _mentions(
-            text, "lookup", "details", "performance", "redemption", "spend", "campaign type"),
-            "campaign_lookup")
-        .when(_mentions(text, "campaign") & _mentions(text, "highest", "top", "rank", "best")
-              & _mentions(text, "redemption", "redeeming", "rate"), "rank_campaigns")
-        .when(_mentions(text, "highest", "top", "rank", "customers with most")
-              & _mentions(text, "clv", "customer value"), "rank_customers")
-        .when(_mentions(text, "assumption", "retention rate", "contribution margin",
-                        "discount rate")
-              & _mentions(text, "clv", "finance", "offer", "used", "configured"),
-              "clv_assumptions")
-        .when(~explains_calibration & _mentions(
-            text, "model", "roc-auc", "average precision", "calibration", "brier", "baseline",
-            "evaluated"), "model_metrics")
-        .when(_mentions(text, "offer") & _mentions(
-            text, "value", "economics", "break-even", "break even"), "offer_economics_lookup"))
+    def about(*topics: tuple[str, ...]) -> Column:
+        return reduce(lambda a, b: a & b, [_mentions(text, *stems) for stems in topics])
+
+    rules = (
+        ("offer_economics_lookup", household.isNotNull() & about(OFFER_DETAIL)),
+        ("customer_lookup", household.isNotNull()),
+        ("campaign_lookup", campaign.isNotNull() & about(CAMPAIGN_DETAIL)),
+        ("rank_campaigns", about(CAMPAIGN_WORD, BEST, REDEMPTION)),
+        ("rank_customers", about(MOST_VALUABLE, CUSTOMER_VALUE)),
+        ("clv_assumptions", about(ASSUMPTION, ASSUMPTION_USE)),
+        ("model_metrics", ~about(CALIBRATION, EXPLANATION) & about(MODEL)),
+        ("offer_economics_lookup", about(OFFER, OFFER_VALUE)))
+    tool = F.coalesce(*[F.when(condition, name) for name, condition in rules])
 
     tagged = questions.withColumns({
         "tool": tool, "household_key": household, "CAMPAIGN": campaign, "asked_rows": asked})
@@ -68,7 +78,7 @@ def tag_questions(questions: DataFrame, text_column: str = "question") -> DataFr
     rows = F.greatest(F.lit(1), F.least(F.col("asked_rows"), largest))
     return tagged.withColumns({
         "metric": F.when(chosen == "rank_customers", F.when(
-            _mentions(text, "24"), "modeled_24_month_clv").otherwise("modeled_12_month_clv"))
+            about(LONG_HORIZON), "modeled_24_month_clv").otherwise("modeled_12_month_clv"))
         .when(chosen == "rank_campaigns", "descriptive_redemption_rate"),
         "row_limit": F.when(largest.isNotNull(), rows).cast("bigint"),
         "status": F.when(chosen.isNull(), "no_tool")

@@ -11,7 +11,7 @@ import re
 
 from basketlens.contracts import RESPONSE_FEATURES
 from basketlens.functions.text import STOP_WORDS
-from basketlens.operators.routing import CAMPAIGN, COUNT, COUNT_WORD, HOUSEHOLD, NUMBER_WORDS
+from basketlens.operators import routing as words
 from basketlens.plans.frozen import FROZEN_CALIBRATOR, FROZEN_NETWORK
 
 STEPS: dict[str, str] = {}
@@ -862,34 +862,29 @@ SELECT 't' || conv_id || '-' || turn,
 FROM conversations""")
 step("read_questions", f"""
 SELECT question_id, q,
-       TRY_CAST(nullif(regexp_extract(q, '{HOUSEHOLD}', 1), '') AS BIGINT) AS household_key,
-       TRY_CAST(nullif(regexp_extract(q, '{CAMPAIGN}', 1), '') AS BIGINT) AS CAMPAIGN,
-       coalesce(TRY_CAST(nullif(regexp_extract(q, '{COUNT}', 1), '') AS BIGINT),
-                nullif(list_position([{', '.join(f"'{w}'" for w in NUMBER_WORDS)}],
-                                     regexp_extract(q, '{COUNT_WORD}', 1)), 0), 10) AS asked
+       TRY_CAST(nullif(regexp_extract(q, '{words.HOUSEHOLD}', 1), '') AS BIGINT) AS household_key,
+       TRY_CAST(nullif(regexp_extract(q, '{words.CAMPAIGN}', 1), '') AS BIGINT) AS CAMPAIGN,
+       coalesce(TRY_CAST(nullif(regexp_extract(q, '{words.COUNT}', 1), '') AS BIGINT),
+                nullif(list_position([{', '.join(f"'{w}'" for w in words.NUMBER_WORDS)}],
+                                     regexp_extract(q, '{words.COUNT_WORD}', 1)), 0), 10) AS asked
 FROM (SELECT question_id, lower(question) AS q FROM questions)""")
-_OFFER = _starts("offer", "economics", "break-even", "break even")
 step("routed", f"""
 SELECT *, CASE
-  WHEN household_key IS NOT NULL AND {_OFFER} THEN 'offer_economics_lookup'
+  WHEN household_key IS NOT NULL AND {_starts(*words.OFFER_DETAIL)} THEN 'offer_economics_lookup'
   WHEN household_key IS NOT NULL THEN 'customer_lookup'
-  WHEN CAMPAIGN IS NOT NULL AND {_starts("lookup", "details", "performance", "redemption", "spend", "campaign type")}
-    THEN 'campaign_lookup'
-  WHEN {_starts("campaign")} AND {_starts("highest", "top", "rank", "best")}
-    AND {_starts("redemption", "redeeming", "rate")} THEN 'rank_campaigns'
-  WHEN {_starts("highest", "top", "rank", "customers with most")} AND {_starts("clv", "customer value")}
-    THEN 'rank_customers'
-  WHEN {_starts("assumption", "retention rate", "contribution margin", "discount rate")}
-    AND {_starts("clv", "finance", "offer", "used", "configured")} THEN 'clv_assumptions'
-  WHEN NOT ({_starts("calibrat")} AND {_starts("what does", "what is", "explain", "how does", "how is")})
-    AND {_starts("model", "roc-auc", "average precision", "calibration", "brier", "baseline", "evaluated")}
-    THEN 'model_metrics'
-  WHEN {_starts("offer")} AND {_starts("value", "economics", "break-even", "break even")}
+  WHEN CAMPAIGN IS NOT NULL AND {_starts(*words.CAMPAIGN_DETAIL)} THEN 'campaign_lookup'
+  WHEN {_starts(*words.CAMPAIGN_WORD)} AND {_starts(*words.BEST)} AND {_starts(*words.REDEMPTION)}
+    THEN 'rank_campaigns'
+  WHEN {_starts(*words.MOST_VALUABLE)} AND {_starts(*words.CUSTOMER_VALUE)} THEN 'rank_customers'
+  WHEN {_starts(*words.ASSUMPTION)} AND {_starts(*words.ASSUMPTION_USE)} THEN 'clv_assumptions'
+  WHEN NOT ({_starts(*words.CALIBRATION)} AND {_starts(*words.EXPLANATION)})
+    AND {_starts(*words.MODEL)} THEN 'model_metrics'
+  WHEN {_starts(*words.OFFER)} AND {_starts(*words.OFFER_VALUE)}
     THEN 'offer_economics_lookup' END AS tool
 FROM read_questions""")
 oracle("tagged_questions", f"""
 SELECT question_id, tool, household_key, CAMPAIGN,
-       CASE tool WHEN 'rank_customers' THEN CASE WHEN {_starts("24")} THEN 'modeled_24_month_clv'
+       CASE tool WHEN 'rank_customers' THEN CASE WHEN {_starts(*words.LONG_HORIZON)} THEN 'modeled_24_month_clv'
                                                  ELSE 'modeled_12_month_clv' END
                  WHEN 'rank_campaigns' THEN 'descriptive_redemption_rate' END AS metric,
        CASE tool WHEN 'rank_customers' THEN greatest(1, least(asked, 100))
