@@ -128,9 +128,8 @@ def value_segments(economics: DataFrame, value: str = "modeled_12_month_clv",
     base = stable(economics.select(key, value).where(F.col(value).isNotNull()))
     n = base.count()
     one, two = n // 3, 2 * n // 3
-    label = (F.when(first_by_rank(base, value, key, one, n), SEGMENTS[0])
-             .when(first_by_rank(base, value, key, two, n), SEGMENTS[1])
-             .otherwise(SEGMENTS[2]))
+    in_first, in_second = first_by_rank(base, value, key, [one, two], n)
+    label = F.when(in_first, SEGMENTS[0]).when(in_second, SEGMENTS[1]).otherwise(SEGMENTS[2])
     stretches = [(0, one), (one, two - one), (two, n - two)]
     return base.withColumn("value_segment", label), stretches
 

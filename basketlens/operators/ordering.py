@@ -72,19 +72,30 @@ def median(df: DataFrame, column: str) -> float | None:
     return interpolated_quantiles(values, column, [(0, n, 0.5)], n)[0] if n else None
 
 
-def first_by_rank(df: DataFrame, value: str, key: str, rank: int, n: int) -> Column:
-    """Condition that holds for the first ``rank`` rows ordered by value, then key.
+def first_by_rank(df: DataFrame, value: str, key: str, ranks: Sequence[int],
+                  n: int) -> list[Column]:
+    """For each rank, a condition that holds for that many first rows by value, then key.
 
-    Rows tied at the boundary value are told apart by the key at the boundary,
+    Rows tied at a boundary value are told apart by the key at the boundary,
     itself found as an order statistic, so rows are never numbered.
     """
-    if rank <= 0:
-        return F.lit(False)
-    cut = values_at_ranks(df, value, [rank], n)[rank]
-    tied = df.where(F.col(value) == F.lit(cut))
-    counts = df.agg(F.count_if(F.col(value) < F.lit(cut)).alias("below"),
-                    F.count_if(F.col(value) == F.lit(cut)).alias("tied")).first()
-    place = rank - counts.below
-    last_key = values_at_ranks(tied, key, [place], counts.tied)[place]
-    return (F.col(value) < F.lit(cut)) | (
-        (F.col(value) == F.lit(cut)) & (F.col(key) <= F.lit(last_key)))
+    cuts = values_at_ranks(df, value, [rank for rank in ranks if rank > 0], n)
+    counts = {}
+    if cuts:
+        found = df.agg(*[F.count_if(test).alias(f"{name}_{rank}")
+                         for rank, cut in cuts.items()
+                         for name, test in (("below", F.col(value) < F.lit(cut)),
+                                            ("tied", F.col(value) == F.lit(cut)))]).first()
+        counts = {rank: (found[f"below_{rank}"], found[f"tied_{rank}"]) for rank in cuts}
+
+    def condition(rank: int) -> Column:
+        if rank <= 0:
+            return F.lit(False)
+        (below, tied), at_cut = counts[rank], F.col(value) == F.lit(cuts[rank])
+        place = rank - below
+        if place == tied:
+            return F.col(value) <= F.lit(cuts[rank])
+        last_key = values_at_ranks(df.where(at_cut), key, [place], tied)[place]
+        return (F.col(value) < F.lit(cuts[rank])) | (at_cut & (F.col(key) <= F.lit(last_key)))
+
+    return [condition(rank) for rank in ranks]

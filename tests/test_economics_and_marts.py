@@ -74,9 +74,10 @@ def test_order_statistics_match_sorting(frame, hot):
     found = ordering.values_at_ranks(df, "v", ranks, 700)
     assert found == {r: sorted(values)[r - 1] for r in ranks}
     assert ordering.median(df, "v") == pytest.approx(statistics.median(values))
-    first = df.where(ordering.first_by_rank(df, "v", "k", 233, 700)).select("k").collect()
-    by_order = sorted(range(700), key=lambda i: (values[i], i))[:233]
-    assert sorted(r.k for r in first) == sorted(by_order)
+    by_order = sorted(range(700), key=lambda i: (values[i], i))
+    sizes = [0, 233, 466, 700]
+    for size, first in zip(sizes, ordering.first_by_rank(df, "v", "k", sizes, 700)):
+        assert sorted(r.k for r in df.where(first).collect()) == sorted(by_order[:size])
 
 
 def test_segments_put_the_remainder_on_top(frame):
