@@ -62,6 +62,17 @@ class Standardizer:
         return cls(tuple(features), tuple(rows[f].mean for f in features),
                    tuple(rows[f].std for f in features))
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The parameters as a table in feature order, for storing with the model."""
+        return spark.createDataFrame(
+            list(zip(range(len(self.features)), self.features, self.means, self.stds)),
+            "place int, feature string, mean double, std double")
+
+    @classmethod
+    def load(cls, table: DataFrame) -> "Standardizer":
+        rows = table.orderBy("place").collect()
+        return cls(*(tuple(r[name] for r in rows) for name in ("feature", "mean", "std")))
+
     def column(self, name: str) -> Column:
         i = self.features.index(name)
         value = F.coalesce(F.col(name).cast("double"), F.lit(self.means[i]))
@@ -240,6 +251,27 @@ def apply_model(dataset: DataFrame, standardizer: Standardizer,
     return scored.withColumn("raw_probability", sigmoid(F.col("logit")))
 
 
+def save_model(folder: str, standardizer: Standardizer, model: PipelineModel,
+               calibrator: Calibrator) -> None:
+    """Write everything that scoring needs: inputs, classifier and calibration."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{folder}/classifier")
+    for name, table in (("standardizer", standardizer.frame(spark)),
+                        ("calibrator", calibrator.frame(spark))):
+        table.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def load_model(folder: str, features: Sequence[str] = RESPONSE_FEATURES
+               ) -> tuple[Standardizer, PipelineModel, Calibrator]:
+    """Read a saved model; its inputs must be the given features in the same order."""
+    spark = SparkSession.active()
+    standardizer = Standardizer.load(spark.read.parquet(f"{folder}/standardizer"))
+    if standardizer.features != tuple(features):
+        raise ValueError("the saved model was fitted on other features or another order")
+    calibrator = Calibrator.load(spark.read.parquet(f"{folder}/calibrator"))
+    return standardizer, PipelineModel.load(f"{folder}/classifier"), calibrator
+
+
 def permuted_scores(validation: DataFrame, standardizer: Standardizer, network: FeedForward,
                     key: Sequence[str], repeats: int, seed: int,
                     buckets: int = 1) -> DataFrame:

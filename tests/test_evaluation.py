@@ -139,6 +139,23 @@ def test_fitted_models_rank_better_than_chance(frame):
         response.fit_logistic(data.where("target_redeemed = 1"), s)
 
 
+def test_saved_model_scores_the_same(frame, tmp_path):
+    _, data = model_rows(frame, 80)
+    s = response.Standardizer.fit(data)
+    fitted = response.fit_logistic(data, s, max_iter=10)
+    response.save_model(str(tmp_path), s, fitted, response.Calibrator(0.5, -0.1))
+    loaded, again, calibrator = response.load_model(str(tmp_path))
+    assert loaded == s and calibrator.slope == 0.5
+
+    def logits(standardizer, model):
+        rows = response.apply_model(data, standardizer, model).orderBy("household_key").collect()
+        return [r.logit for r in rows]
+
+    assert logits(loaded, again) == logits(s, fitted)
+    with pytest.raises(ValueError, match="other features"):
+        response.load_model(str(tmp_path), RESPONSE_FEATURES[::-1])
+
+
 @pytest.mark.parametrize("buckets", [1, 3])
 def test_permutation_moves_one_feature_and_keeps_its_values(frame, buckets):
     _, data = model_rows(frame, 30)
