@@ -52,4 +52,39 @@ SELECT doc_id, size, source_size, target,
 FROM reached
 """
 
-ORACLE = {"op4_mixing": MIXING}
+DECONTAMINATION = r"""
+WITH worded AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+itemized AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 13) AS n,
+         array_to_string(words[i:i + least(len(words), 13) - 1], ' ') AS passage
+  FROM itemized, unnest(generate_series(1, greatest(len(words) - 12, 1))) AS s(i)
+  WHERE len(words) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+stretches AS (
+  SELECT row, i, n, array_to_string(words[i:i + n - 1], ' ') AS passage
+  FROM worded, lengths, unnest(generate_series(1, len(words) - n + 1)) AS s(i)),
+hits AS (SELECT row, i, n, item FROM stretches JOIN windows USING (n, passage)),
+covered AS (
+  SELECT row, count(DISTINCT p) AS n_hit
+  FROM (SELECT row, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item FROM hits WHERE item IS NOT NULL) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM worded LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
+"""
+
+ORACLE = {"op4_mixing": MIXING, "op8_decontamination": DECONTAMINATION}
