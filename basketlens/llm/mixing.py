@@ -25,6 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BINS = 65_536
+#: A source may hold most rows; each meets its plan in so many parts.
+SALTS = 64
 #: Sampling weight by quality label; documents without a label take the middle one.
 QUALITY_WEIGHTS = {1: 2.0, 0: 0.5}
 UNLABELLED_WEIGHT = 1.0
@@ -108,8 +110,12 @@ def mix(documents: DataFrame, quality: DataFrame, repeats: int = MOST_REPEATS) -
               .agg(F.min(F.struct("bin", "before")).alias("edge")))
     plan = (targets.alias("one").join(filled.alias("two"), names, "left")
             .select(F.col("one.source").alias("plan_source"), "source_size", "target", "epochs",
-                    "rest", "edge"))
-    placed = (sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+                    "rest", "edge",
+                    F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("plan_salt")))
+    salt = F.pmod(F.xxhash64("doc_id", "size"), F.lit(SALTS)).cast("int")
+    placed = (sized.withColumn("salt", salt)
+              .join(plan, F.col("source").eqNullSafe(F.col("plan_source"))
+                    & (F.col("salt") == F.col("plan_salt")))
               .withColumn("at_edge", F.coalesce(F.col("bin") == F.col("edge.bin"), F.lit(False))))
     inside = Window.partitionBy("source").orderBy("key", "doc_id", "size")
     reached = F.col("edge.before") + F.sum("size").over(
