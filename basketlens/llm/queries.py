@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import decontam, mixing, near
+from basketlens.llm import decontam, mixing, near, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Category probabilities of every document, and whether it is toxic."""
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that benchmark windows hit, and the items."""
     return decontam.contamination(table(spark, folder, "documents"),
@@ -32,6 +38,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
     "op8_decontamination": op8_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
