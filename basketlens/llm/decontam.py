@@ -248,3 +248,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (CONTAMINATED_SHARE * F.col("n_hit") >= F.col("n_words")))
         .alias("contaminated"), "items")
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, all columns, that are not contaminated, each judged by its own text."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+    judged = contamination(documents.select(key.alias("doc_id"), "text"), benchmark)
+    bad = judged.where("contaminated").select(F.col("doc_id").alias("bad_key")).distinct()
+    return documents.join(bad, key == F.col("bad_key"), "left_anti")

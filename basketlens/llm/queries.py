@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import decontam, mixing, near, toxicity
+from basketlens.llm import decontam, mixing, near, private, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and further spans of personal data in every document."""
+    documents = table(spark, folder, "documents")
+    return private.personal_data(documents, private.train(documents))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all documents takes of each, by source targets."""
     mixed = mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -37,6 +43,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": op1_personal_data,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op8_decontamination": op8_decontamination,
