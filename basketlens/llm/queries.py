@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import decontam, mixing, near, private, toxicity
+from basketlens.llm import decontam, fingerprints, mixing, near, private, toxicity
+from basketlens.llm.store import shipped
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return private.personal_data(documents, private.train(documents))
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all documents takes of each, by source targets."""
     mixed = mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -44,6 +50,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
+    "op2_fingerprints": op2_fingerprints,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op8_decontamination": op8_decontamination,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,17 @@ def stored(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, with this package's modules sent to its Python workers once."""
+    context = spark.sparkContext
+    if not getattr(context, "llm_package_sent", False):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="llm-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as held:
+            for module in sorted(package.rglob("*.py")):
+                held.write(module, module.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context.llm_package_sent = True
+    return spark

@@ -111,6 +111,25 @@ def _piece(data: np.ndarray, begins: np.ndarray, alphabet: Alphabet):
     return mixed(hashes), starts, ends + 1
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges ``[start, end)``, which are not empty and lie in order.
+
+    Long arrays are taken in pieces that end with a range.
+    """
+    hashes, low = np.empty(len(starts), np.uint64), 0
+    while low < len(starts):
+        high = max(int(np.searchsorted(ends, starts[low] + SLICE_BYTES, side="right")), low + 1)
+        first, last = int(starts[low]), int(ends[high - 1])
+        up, down = _power_tables(last - first)
+        terms = _BYTE[data[first:last]]
+        terms *= up[:last - first]
+        sums = np.cumsum(terms)
+        a, b = starts[low:high] - first, ends[low:high] - 1 - first
+        hashes[low:high] = (sums[b] - sums[a] + terms[a]) * down[a]
+        low = high
+    return hashes
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet):
     """Hashes, byte starts and byte ends of all words, and the rows' offsets among them."""
     parts, at = [], 0

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import decontam, mixing, near, private, toxicity
-from basketlens.llm.store import stored
+from basketlens.llm.store import shipped, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -54,7 +54,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
