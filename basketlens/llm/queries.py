@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketlens.llm import decontam, fingerprints, mixing, near, private, toxicity
+from basketlens.llm import (
+    decontam, fingerprints, language, mixing, near, private, quality, toxicity)
 from basketlens.llm.store import shipped
 
 
@@ -14,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return shipped(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(parts: int) -> Column:
+    """Remainder of the CRC-32 of the id as text; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
+
+
 def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Base and further spans of personal data in every document."""
     documents = table(spark, folder, "documents")
@@ -37,6 +44,20 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from two of three folds of the ids."""
+    documents = table(spark, folder, "documents").withColumn("held_out", fold(3) == 1)
+    taught = quality.sample_of(documents.where(~F.col("held_out")), table(
+        spark, folder, "labels").where(fold(3) != 1))
+    return quality.rate(documents, quality.train(taught))
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three of four folds of the ids."""
+    documents = table(spark, folder, "documents").withColumn("held_out", fold(4) == 2)
+    return language.predict(documents, language.learn(documents.where(~F.col("held_out"))))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that benchmark windows hit, and the items."""
     return decontam.contamination(table(spark, folder, "documents"),
@@ -53,6 +74,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
