@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import (
-    decontam, fingerprints, language, mixing, near, private, quality, toxicity)
+    decontam, fingerprints, language, lm, mixing, near, private, quality, toxicity)
 from basketlens.llm.store import shipped
 
 
@@ -32,6 +32,15 @@ def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents, learned from four of five folds of the ids.
+
+    Of the training documents, every tenth hash is held out while weights are learned.
+    """
+    part = F.when(fold(5) == 1, 0).when(F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0, 2).otherwise(1)
+    return lm.scores(table(spark, folder, "documents"), part)
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all documents takes of each, by source targets."""
     mixed = mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -72,6 +81,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_fingerprints": op2_fingerprints,
+    "op3_lm_scores": op3_lm_scores,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
