@@ -87,4 +87,37 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM worded LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
 """
 
-ORACLE = {"op4_mixing": MIXING, "op8_decontamination": DECONTAMINATION}
+QUOTATION_LINKS = r"""
+WITH RECURSIVE messages AS (
+  SELECT conv_id, turn, min(role) AS role, min(text) AS text,
+         regexp_replace(regexp_replace(coalesce(min(text), ''), '^\n+', ''), '\n+$', '') AS body
+  FROM conversations GROUP BY 1, 2),
+passages AS (
+  SELECT conv_id, turn, body AS passage FROM messages
+  UNION ALL
+  SELECT conv_id, turn, unnest(string_split(body, chr(10))) FROM messages),
+index AS (
+  SELECT conv_id, lower(trim(regexp_replace(passage, '[\x20\x09-\x0D]+', ' ', 'g'))) AS passage,
+         min(turn) AS holder
+  FROM passages GROUP BY 1, 2),
+quoting AS (
+  SELECT m.*, lower(trim(regexp_replace(coalesce(a.text, b.text), '[\x20\x09-\x0D]+', ' ', 'g')))
+           AS quoted
+  FROM messages m LEFT JOIN messages a ON a.conv_id = m.conv_id AND a.turn = m.turn - 1
+  LEFT JOIN messages b ON b.conv_id = m.conv_id AND b.turn = m.turn - 2),
+linked AS (
+  SELECT q.conv_id, q.turn, q.role, q.body, i.holder AS parent
+  FROM quoting q LEFT JOIN index i
+    ON i.conv_id = q.conv_id AND i.passage = q.quoted AND i.passage <> '' AND i.holder < q.turn),
+replies AS (
+  SELECT conv_id, turn, turn AS root, 0 AS depth FROM linked WHERE parent IS NULL
+  UNION ALL
+  SELECT l.conv_id, l.turn, r.root, r.depth + 1
+  FROM linked l JOIN replies r ON l.conv_id = r.conv_id AND l.parent = r.turn)
+SELECT l.conv_id, l.turn, l.role, l.parent AS parent_turn, r.root AS root_turn,
+       CAST(r.depth AS BIGINT) AS depth, l.body AS text
+FROM linked l JOIN replies r ON l.conv_id = r.conv_id AND l.turn = r.turn
+"""
+
+ORACLE = {"op4_mixing": MIXING, "op8_decontamination": DECONTAMINATION,
+          "op9_quotation_links": QUOTATION_LINKS}

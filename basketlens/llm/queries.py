@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import (
-    decontam, fingerprints, language, lm, mixing, near, private, quality, toxicity)
+    decontam, fingerprints, language, lm, mixing, near, private, quality, quotes,
+    toxicity)
 from basketlens.llm.store import shipped
 
 
@@ -73,6 +74,15 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
                                   table(spark, folder, "benchmark")).drop("items")
 
 
+def op9_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as quoting replies, linked, ordered by reply and freed of quotes."""
+    turns = table(spark, folder, "conversations")
+    roles = turns.groupBy(F.col("conv_id").alias("scope"), "turn").agg(F.min("role").alias("role"))
+    return quotes.conversations(quotes.as_mail(turns)).join(roles, ["scope", "turn"], "left").select(
+        F.col("scope").alias("conv_id"), "turn", "role", F.col("parent").alias("parent_turn"),
+        F.col("root").alias("root_turn"), "depth", F.col("body").alias("text"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class, copy group and number of links of every document."""
     return near.near_classes(table(spark, folder, "documents"))
@@ -87,5 +97,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
+    "op9_quotation_links": op9_quotation_links,
     "op10_jaccard_join": op10_jaccard_join,
 }
