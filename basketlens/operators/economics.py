@@ -7,15 +7,13 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketlens.functions.finance import annuity_factor, monthly_rate, offer_value
+from basketlens.operators.ordering import lower_quantiles
 from basketlens.operators.quality import many_to_one
 from basketlens.settings import FinanceAssumptions, SensitivityGrid
 
-MEDIAN_ACCURACY = 10_000
-
-
-def approximate_median(column: str) -> Column:
-    """Lower middle value from a mergeable sketch; exact up to 10,000 distinct values."""
-    return F.percentile_approx(column, 0.5, MEDIAN_ACCURACY)
+def lower_median(df: DataFrame, column: str) -> Column:
+    """The lower middle value, exact at any size, as a literal."""
+    return F.lit(lower_quantiles(df, column, [0.5])[0]).cast("double")
 
 
 def customer_economics(customers: DataFrame, f: FinanceAssumptions) -> DataFrame:
@@ -54,10 +52,11 @@ def offer_economics(scored: DataFrame, economics: DataFrame, f: FinanceAssumptio
 
 def clv_summary(economics: DataFrame) -> DataFrame:
     horizons = ("12", "24")
-    aggregates = [aggregate(f"modeled_{h}_month_clv").alias(f"{name}_{h}")
-                  for h in horizons for name, aggregate in (
-                      ("mean", F.avg), ("median", approximate_median),
-                      ("min", F.min), ("max", F.max))]
+    aggregates = [aggregate.alias(f"{name}_{h}")
+                  for h in horizons for value in (f"modeled_{h}_month_clv",)
+                  for name, aggregate in (
+                      ("mean", F.avg(value)), ("median", lower_median(economics, value)),
+                      ("min", F.min(value)), ("max", F.max(value)))]
     usable = F.count_if(F.col("modeled_12_month_clv").isNotNull()
                         & F.col("modeled_24_month_clv").isNotNull())
     return economics.agg(*aggregates, usable.alias("usable_households"))
@@ -67,9 +66,9 @@ def offer_summary(offers: DataFrame) -> DataFrame:
     value = F.col("modeled_expected_offer_value")
     return offers.agg(
         F.avg("calibrated_response_probability").alias("mean_probability"),
-        approximate_median("calibrated_response_probability").alias("median_probability"),
+        lower_median(offers, "calibrated_response_probability").alias("median_probability"),
         F.avg(value).alias("mean_expected_value"),
-        approximate_median("modeled_expected_offer_value").alias("median_expected_value"),
+        lower_median(offers, "modeled_expected_offer_value").alias("median_expected_value"),
         F.count_if(value > 0).alias("above_zero"),
         F.count_if(value < 0).alias("below_zero"),
         F.avg("break_even_offer_cost").alias("mean_break_even_offer_cost"))
@@ -107,8 +106,7 @@ def one_factor_scenarios(spark: SparkSession, f: FinanceAssumptions,
 
 
 def _median_monthly_revenue(economics: DataFrame, f: FinanceAssumptions) -> Column:
-    return economics.agg(approximate_median("historical_revenue")).scalar() / F.lit(
-        f.observed_months)
+    return lower_median(economics, "historical_revenue") / F.lit(f.observed_months)
 
 
 def one_factor_sensitivity(economics: DataFrame, f: FinanceAssumptions,

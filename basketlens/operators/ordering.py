@@ -8,37 +8,56 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SKETCH_ACCURACY = 10_000
+#: A bracket with more rows than this is narrowed again before its values are ordered.
+BRACKET_ROWS = 1_000_000
+NARROWINGS = 6
 
 
 def values_at_ranks(df: DataFrame, column: str, ranks: Iterable[int], n: int) -> dict[int, object]:
     """The values at 1-based ranks of a column without nulls.
 
-    A sketch brackets each rank to a few ten-thousandths of the rows.  Counting
+    A sketch brackets each rank to a few ten-thousandths of the rows, and again inside
+    the bracket until it holds at most ``BRACKET_ROWS`` rows or a single value.  Counting
     what lies below a bracket and ordering only the distinct values inside it
-    then gives the exact value.  Call it on a frame that is cheap to read twice.
+    then gives the exact value.  Call it on a frame that is cheap to read a few times.
     """
     wanted = sorted(set(ranks))
     if not wanted:
         return {}
-    slack = 2.0 / SKETCH_ACCURACY + 2.0 / n
-    low = [max(0.0, rank / n - slack) for rank in wanted]
-    high = [min(1.0, rank / n + slack) for rank in wanted]
-    sketch = df.agg(F.percentile_approx(column, low + high, SKETCH_ACCURACY).alias("cuts"),
-                    F.min(column).alias("least"), F.max(column).alias("most")).first()
-    brackets = [(sketch.least if low[i] == 0 else sketch.cuts[i],
-                 sketch.most if high[i] == 1 else sketch.cuts[len(wanted) + i])
-                for i in range(len(wanted))]
     value = F.col(column)
-    below = df.agg(*[F.count_if(value < F.lit(lo)).alias(f"b{i}")
-                     for i, (lo, _) in enumerate(brackets)]).first()
-    spans = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"),
-                               F.lit(rank - below[i]).alias("place"))
-                      for i, ((lo, hi), rank) in enumerate(zip(brackets, wanted))])
-    inside = df.select(value.alias("value"), F.explode(F.filter(
+    ends = df.agg(F.min(column).alias("least"), F.max(column).alias("most")).first()
+    brackets = {rank: (ends.least, ends.most) for rank in wanted}
+    below, inside = {rank: 0 for rank in wanted}, {rank: n for rank in wanted}
+    for narrowing in range(NARROWINGS):
+        wide = [r for r in wanted if brackets[r][0] != brackets[r][1]
+                and (inside[r] > BRACKET_ROWS or not narrowing)]
+        if not wide:
+            break
+        sketches = []
+        for r in wide:
+            share, slack = (r - below[r]) / inside[r], 2.0 / SKETCH_ACCURACY + 2.0 / inside[r]
+            held = value.between(F.lit(brackets[r][0]), F.lit(brackets[r][1]))
+            sketches.append(F.percentile_approx(
+                F.when(held, value), [max(0.0, share - slack), min(1.0, share + slack)],
+                SKETCH_ACCURACY))
+        for r, (low, high) in zip(wide, df.agg(*sketches).first()):
+            share, slack = (r - below[r]) / inside[r], 2.0 / SKETCH_ACCURACY + 2.0 / inside[r]
+            brackets[r] = (low if share > slack else brackets[r][0],
+                           high if share + slack < 1 else brackets[r][1])
+        counts = df.agg(*[F.count_if(test) for r in wide for test in (
+            value < F.lit(brackets[r][0]),
+            value.between(F.lit(brackets[r][0]), F.lit(brackets[r][1])))]).first()
+        for i, r in enumerate(wide):
+            below[r], inside[r] = counts[2 * i], counts[2 * i + 1]
+    spans = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(brackets[r][0]).alias("lo"),
+                               F.lit(brackets[r][1]).alias("hi"), F.lit(r - below[r]).alias("place"))
+                      for i, r in enumerate(wanted)])
+    spread = df.select(value.alias("held"), F.explode(F.filter(
         spans, lambda s: value.between(s["lo"], s["hi"]))).alias("s"))
     running = Window.partitionBy("i").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    found = (inside.groupBy(F.col("s.i").alias("i"), F.col("s.place").alias("place"), "value")
+    found = (spread.groupBy(F.col("s.i").alias("i"), F.col("s.place").alias("place"),
+                           F.col("held").alias("value"))
              .agg(F.count(F.lit(1)).alias("n"))
              .withColumn("seen", F.sum("n").over(running))
              .where(F.col("seen") >= F.col("place"))
@@ -49,6 +68,18 @@ def values_at_ranks(df: DataFrame, column: str, ranks: Iterable[int], n: int) ->
     return result
 
 
+def lower_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[object]:
+    """The least values that at least each share of the non-null values do not exceed.
+
+    Nulls for a column without values.
+    """
+    values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
+    n = values.count()
+    ranks = [max(1, math.ceil(share * n)) for share in shares]
+    found = values_at_ranks(values, "value", ranks, n) if n else {}
+    return [found.get(rank) for rank in ranks]
+
+
 def _interpolation(start: int, rows: int, share: float) -> tuple[int, int, float]:
     """Neighbouring 1-based ranks and weight of a quantile of rows ``start + 1 …``."""
     position = (rows - 1) * share

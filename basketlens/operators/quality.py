@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
+from basketlens.operators.ordering import lower_quantiles
 from basketlens.contracts import OUTPUT_COLUMNS, OUTPUT_KEYS
 from basketlens.functions.text import is_blank
 from basketlens.settings import QualityRules
@@ -111,21 +112,21 @@ def schema_rows(df: DataFrame) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, deviation, range and quartiles of numeric columns, in one pass.
+    """Count, mean, deviation, range and quartiles of numeric columns.
 
-    Quartiles come from a mergeable sketch with a rank error of one in 10,000.
+    Quartiles are exact lower values; the rest takes one pass.
     """
     columns = list(columns or [f.name for f in df.schema.fields
                                if isinstance(f.dataType, NumericType)])
 
     def summary(name: str) -> Column:
         value = F.col(_quoted(name)).cast("double")
-        quartiles = F.percentile_approx(value, [0.25, 0.5, 0.75], 10000)
+        quartiles = lower_quantiles(df.select(value.alias("value")), "value", (0.25, 0.5, 0.75))
         return F.struct(
             F.lit(name).alias("column_name"), F.count(value).alias("n"),
             F.avg(value).alias("mean"), F.stddev_samp(value).alias("stddev"),
             F.min(value).alias("min"),
-            *[F.get(quartiles, F.lit(i)).alias(f"p{p}") for i, p in enumerate((25, 50, 75))],
+            *[F.lit(q).cast("double").alias(f"p{p}") for q, p in zip(quartiles, (25, 50, 75))],
             F.max(value).alias("max"))
 
     return df.agg(F.array(*[summary(name) for name in columns]).alias("s")).select(F.inline("s"))

@@ -272,28 +272,37 @@ def load_model(folder: str, features: Sequence[str] = RESPONSE_FEATURES
     return standardizer, PipelineModel.load(f"{folder}/classifier"), calibrator
 
 
+#: Leading hexadecimal digits of a row's digest that name its band of the ring.
+BAND_DIGITS = 3
+
+
 def permuted_scores(validation: DataFrame, standardizer: Standardizer, network: FeedForward,
-                    key: Sequence[str], repeats: int, seed: int,
-                    buckets: int = 1) -> DataFrame:
+                    key: Sequence[str], repeats: int, seed: int) -> DataFrame:
     """Score every row with one feature at a time taken from another row.
 
     A repeat orders rows by a seeded hash and hands each row its successor's
-    inputs, the last row the first one's: a random cyclic permutation without
-    a self-join.  Only the changed input is added to the hidden sums, which are
-    computed once per row.  With ``buckets`` above 1 rows are permuted within random
-    buckets, so that a task orders one bucket of rows instead of all of them.
+    inputs, the last row the first one's: a random cyclic permutation of all rows.
+    Rows are ordered within bands of the hash, and the last row of a band takes the
+    first row of the next band that has any, so no task orders all rows.  Only the
+    changed input is added to the hidden sums, which are computed once per row.
     """
     names = list(standardizer.features)
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("repeat").cast("string"),
                                *[F.col(name).cast("string") for name in key]))
-    order = Window.partitionBy("repeat", "bucket").orderBy("digest")
-    ring = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bucket = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
     rows = (validation.select(*key, "target_redeemed", standardizer.vector().alias("x"))
             .withColumn("sums", network.preactivations(F.col("x")))
             .withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-            .withColumn("digest", digest).withColumn("bucket", bucket)
-            .withColumn("donor", F.coalesce(F.lead("x").over(order), F.first("x").over(ring))))
+            .withColumn("digest", digest)
+            .withColumn("band", F.substring("digest", 1, BAND_DIGITS)))
+    bands = Window.partitionBy("repeat").orderBy("band")
+    ring = bands.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = (rows.groupBy("repeat", "band").agg(F.min_by("x", "digest").alias("head"))
+             .select("repeat", "band", F.coalesce(
+                 F.lead("head").over(bands), F.first("head").over(ring)).alias("next_head")))
+    order = Window.partitionBy("repeat", "band").orderBy("digest")
+    rows = (rows.withColumn("follower", F.lead("x").over(order))
+            .join(heads, ["repeat", "band"])
+            .withColumn("donor", F.coalesce("follower", "next_head")))
     feature = F.col("feature_index")
     change = F.get("donor", feature) - F.get("x", feature)
     shifted = network.shifted(F.col("sums"), feature, change)
@@ -307,11 +316,9 @@ def permuted_scores(validation: DataFrame, standardizer: Standardizer, network:
 def permutation_importance(validation: DataFrame, standardizer: Standardizer,
                            network: FeedForward, key: Sequence[str] = ("household_key", "CAMPAIGN"),
                            repeats: int = 10, seed: int = 20260929,
-                           bucket_rows: int = 1_000_000,
                            digits: int | None = None) -> DataFrame:
     """Drop in average precision and rise in log loss when a feature is permuted.
 
-    Rows are permuted within random buckets of about ``bucket_rows`` rows.
     ``digits`` rounds scores first, so that engines that sum in different
     orders agree on which scores are tied.
     """
@@ -324,10 +331,8 @@ def permutation_importance(validation: DataFrame, standardizer: Standardizer,
         "target_redeemed", F.col("raw_probability").alias("score"), F.lit(0).alias("base"))
     base = measure(plain, ["base"]).select(F.struct("loss", "precision")).scalar()
     base_loss, base_precision = base["loss"], base["precision"]
-    buckets = max(1, math.ceil(validation.count() / bucket_rows))
-    permuted = measure(
-        permuted_scores(validation, standardizer, network, key, repeats, seed, buckets),
-        ["feature", "repeat"])
+    permuted = measure(permuted_scores(validation, standardizer, network, key, repeats, seed),
+                       ["feature", "repeat"])
     return (permuted.select(
         "feature", (base_precision - F.col("precision")).alias("decrease"),
         (F.col("loss") - base_loss).alias("increase"))

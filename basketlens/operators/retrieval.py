@@ -84,8 +84,9 @@ def search(documents: DataFrame, queries: DataFrame, settings: Bm25 = Bm25(),
     part = F.col("repeats") * F.col("idf") * tf * (k1 + 1) / (
         tf + k1 * (1 - b + b * F.col("length") / mean_length))
     scores = (index.join(weighted, "term").groupBy("query_id", "doc_id")
-              .agg(F.round(F.sum(part), settings.tie_digits).alias("score"))
-              .where((F.col("score") > 0) & (F.col("score") >= settings.min_score)))
+              .agg(F.sum(part).alias("total"))
+              .where((F.col("total") > 0) & (F.col("total") >= settings.min_score))
+              .select("query_id", "doc_id", F.round("total", settings.tie_digits).alias("score")))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return scores.withColumn("place", F.row_number().over(best)).where(
         F.col("place") <= settings.limit)

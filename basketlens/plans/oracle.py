@@ -68,8 +68,8 @@ FROM part""")
 
 step("campaign_desc", """
 SELECT 'Type' || substr('ABC', i % 3 + 1, 1) AS DESCRIPTION, i AS CAMPAIGN,
-       CAST(700 + 60 * ((i * 9) // 10) AS INTEGER) AS START_DAY,
-       CAST(700 + 60 * ((i * 9) // 10) + 30 + 15 * (i % 4) AS INTEGER) AS END_DAY
+       CAST(1050 + 60 * ((i * 9) // 10) AS INTEGER) AS START_DAY,
+       CAST(1050 + 60 * ((i * 9) // 10) + 30 + 15 * (i % 4) AS INTEGER) AS END_DAY
 FROM (SELECT DISTINCT CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS i FROM part)""")
 
 step("campaign_table", """
@@ -83,12 +83,12 @@ step("coupon_redempt", """
 SELECT x.household_key, x."DAY", x.PRODUCT_ID AS COUPON_UPC, a.CAMPAIGN
 FROM tx x JOIN campaign_table a ON x.household_key = a.household_key
 JOIN campaign_desc d ON a.CAMPAIGN = d.CAMPAIGN
-WHERE x.coupon_line AND x."DAY" <= 1990
+WHERE x.coupon_line
   AND x."DAY" BETWEEN d.START_DAY - 20 AND d.END_DAY + 20""")
 
 step("hh_demographic", """
 SELECT c_mktsegment AS classification_1, c_custkey AS household_key
-FROM customer WHERE c_acctbal < 2500""")
+FROM customer WHERE c_custkey IN (SELECT user_id FROM events)""")
 
 
 # Feature tables, once with all history and once bounded on both sides
@@ -571,7 +571,7 @@ JOIN (SELECT * FROM model_report WHERE score_kind = 'raw') r USING (data_split)"
 step("ring", f"""
 SELECT r.repeat, v.*, row_number() OVER w AS place, count(*) OVER (PARTITION BY r.repeat) AS n
 FROM (SELECT * FROM standardized WHERE data_split = 'validation') v
-CROSS JOIN (SELECT unnest([1, 2, 3]) AS repeat) r
+CROSS JOIN (SELECT unnest(generate_series(1, 10)) AS repeat) r
 WINDOW w AS (PARTITION BY r.repeat ORDER BY
              md5('20260929:' || r.repeat || ':' || v.household_key || ':' || v.CAMPAIGN))""")
 step("permuted", " UNION ALL ".join(f"""

@@ -13,10 +13,10 @@ from basketlens.operators import (
     campaigns as campaign_ops, chunking, economics as money, evaluation, features, lookups, marts,
     quality, reports, response, retrieval, routing, training,
 )
-from basketlens.plans.retail import RetailAnalysis
+from basketlens.plans.retail import RetailAnalysis, StoredAnalysis
 from basketlens.settings import FeatureWindows, QualityRules
 from basketlens.sources import readers, sinks
-from basketlens.sources.adapter import RetailTables, prepared_tables
+from basketlens.sources.adapter import PreparedTables, RetailTables, prepared_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -27,15 +27,15 @@ CENSUS_RULES = QualityRules(
     dates={"o_orderdate": "yyyy-MM-dd", "o_orderstatus": "yyyy-MM-dd"}, max_null_rate=0.2)
 
 
-_ANALYSES: dict[tuple[str, str], RetailAnalysis] = {}
+_ANALYSES: dict[PreparedTables, StoredAnalysis] = {}
 
 
-def analysis_of(spark: SparkSession, folder: str) -> RetailAnalysis:
-    """The default analysis of a folder; its stored training set serves a whole session."""
-    key = (sinks.shared_folder(spark), folder)
-    if key not in _ANALYSES:
-        _ANALYSES[key] = RetailAnalysis(prepared_tables(spark, folder))
-    return _ANALYSES[key]
+def analysis_of(spark: SparkSession, folder: str) -> StoredAnalysis:
+    """The default analysis of a folder's present files; its stored tables serve a session."""
+    tables = prepared_tables(spark, folder)
+    if tables not in _ANALYSES:
+        _ANALYSES[tables] = StoredAnalysis(tables)
+    return _ANALYSES[tables]
 
 
 def query(build: Callable[[RetailAnalysis], DataFrame]) -> Callable:
@@ -104,37 +104,34 @@ def coupon_usage_by_customer_segment(a: RetailAnalysis) -> DataFrame:
 
 # Feature tables
 
-def _household(a: RetailAnalysis) -> DataFrame:
-    return a.customers
-
-
-def _product(a: RetailAnalysis) -> DataFrame:
-    return a.products
+def _built(a: RetailAnalysis) -> RetailAnalysis:
+    """The same analysis without its stored tables: feature queries build what they return."""
+    return RetailAnalysis(a.tables)
 
 
 @query
 def household_features(a: RetailAnalysis) -> DataFrame:
-    return _household(a)
+    return _built(a).customers
 
 
 @query
 def household_features_bounded(a: RetailAnalysis) -> DataFrame:
-    return _household(_bounded(a))
+    return _bounded(a).customers
 
 
 @query
 def product_features(a: RetailAnalysis) -> DataFrame:
-    return _product(a)
+    return _built(a).products
 
 
 @query
 def product_features_bounded(a: RetailAnalysis) -> DataFrame:
-    return _product(_bounded(a))
+    return _bounded(a).products
 
 
 @query
 def campaign_household_features(a: RetailAnalysis) -> DataFrame:
-    return a.campaign_households
+    return _built(a).campaign_households
 
 
 @query
@@ -144,7 +141,7 @@ def campaign_household_features_bounded(a: RetailAnalysis) -> DataFrame:
 
 @query
 def campaign_features(a: RetailAnalysis) -> DataFrame:
-    return a.campaigns
+    return _built(a).campaigns
 
 
 @query
@@ -239,7 +236,7 @@ def sample_records(a: RetailAnalysis) -> DataFrame:
 @query
 def csv_round_trip(a: RetailAnalysis) -> DataFrame:
     """Write products as CSV to the shared folder and read them back by contract."""
-    path = f"{sinks.shared_folder(a.tables.spark)}/products_csv"
+    path = sinks.fresh_path(a.tables.spark, "products_csv")
     a.tables.products.write.mode("overwrite").option("header", True).csv(path)
     schema = a.tables.products.schema
     return readers.read_csv(a.tables.spark, path, schema, columns=schema.names)
@@ -249,7 +246,7 @@ def csv_round_trip(a: RetailAnalysis) -> DataFrame:
 def csv_inspection(a: RetailAnalysis) -> DataFrame:
     """Profile assignments as text and compare with the inferred read."""
     spark = a.tables.spark
-    path = f"{sinks.shared_folder(spark)}/assignments_csv"
+    path = sinks.fresh_path(spark, "assignments_csv")
     a.tables.assignments.write.mode("overwrite").option("header", True).csv(path)
     text, typed = readers.read_csv_text(spark, path), readers.read_csv(spark, path)
     report = quality.inspect_table(
@@ -262,7 +259,7 @@ def csv_inspection(a: RetailAnalysis) -> DataFrame:
 @query
 def parquet_round_trip(a: RetailAnalysis) -> DataFrame:
     """Write the training set by split and read one split back."""
-    path = f"{sinks.shared_folder(a.tables.spark)}/response_dataset"
+    path = sinks.fresh_path(a.tables.spark, "response_dataset")
     sinks.write_parquet(a.dataset, path, ["data_split"])
     test = readers.read_parquet(a.tables.spark, path).where(F.col("data_split") == "test")
     return test.select("household_key", "CAMPAIGN", "historical_total_sales", "target_redeemed")
@@ -270,7 +267,7 @@ def parquet_round_trip(a: RetailAnalysis) -> DataFrame:
 
 @query
 def json_report_round_trip(a: RetailAnalysis) -> DataFrame:
-    path = f"{sinks.shared_folder(a.tables.spark)}/split_summary"
+    path = sinks.fresh_path(a.tables.spark, "split_summary")
     sinks.write_json_report(training.split_summary(a.dataset), path)
     return a.tables.spark.read.json(path).select("data_split", "rows", "positives")
 
@@ -349,7 +346,7 @@ def fitted_logistic_report(a: RetailAnalysis) -> DataFrame:
 
 @query
 def fitted_perceptron_report(a: RetailAnalysis) -> DataFrame:
-    return _fit_report(a, lambda train, s: response.fit_perceptron(train, s, max_iter=30))
+    return _fit_report(a, response.fit_perceptron)
 
 
 @query
@@ -411,7 +408,7 @@ def baseline_report(a: RetailAnalysis) -> DataFrame:
 def permutation_importance(a: RetailAnalysis) -> DataFrame:
     result = response.permutation_importance(
         response.in_split(a.stored_dataset, "validation"), a.standardizer, a.network,
-        repeats=3, digits=6)
+        digits=6)
     return rounded(result, "mean_average_precision_decrease", "std_average_precision_decrease",
                    "mean_log_loss_increase")
 

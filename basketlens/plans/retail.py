@@ -155,6 +155,46 @@ class RetailAnalysis:
                 "household_demographics": self.tables.demographics}
 
 
+@dataclass(frozen=True)
+class StoredAnalysis(RetailAnalysis):
+    """An analysis whose output tables are written once and read by all that serves from them."""
+
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        return stored(df, f"{name}-{uuid4().hex}")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._kept("customers", super().customers)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._kept("products", super().products)
+
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return self._kept("campaigns", super().campaigns)
+
+    @cached_property
+    def campaign_households(self) -> DataFrame:
+        return self._kept("campaign-households", super().campaign_households)
+
+    @cached_property
+    def economics(self) -> DataFrame:
+        return self._kept("economics", super().economics)
+
+    @cached_property
+    def offers(self) -> DataFrame:
+        return self._kept("offers", super().offers)
+
+    @cached_property
+    def model_report(self) -> DataFrame:
+        return self._kept("model-report", super().model_report)
+
+    @cached_property
+    def baseline_report(self) -> DataFrame:
+        return self._kept("baseline-report", super().baseline_report)
+
+
 def write_features(analysis: RetailAnalysis, folder: str) -> DataFrame:
     """Write the four feature tables; returns their paths, row counts and schemas."""
     outputs = {"customer_features": analysis.customers, "product_features": analysis.products,

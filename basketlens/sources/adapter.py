@@ -3,23 +3,24 @@
 Campaigns are run by manufacturers: one per brand in the catalog, addressed to
 the households of one or two sales regions.  A coupon line counts as redeemed
 for every campaign its household is assigned to and whose interval, with a
-margin of 20 days, holds the line's day.  Money is exact decimal.
+margin of 20 days, holds the line's day.  Demographics are known of households with
+events.  Money is exact decimal.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketlens.sources.sinks import shared_folder, stored
+from basketlens.sources.sinks import shared_folder, state_of, stored
 
 FIRST_DATE = "1995-01-01"
-LAST_REDEMPTION_DAY = 1990
+#: The last campaign ends after the calendar, so it cannot be observed to its end.
+FIRST_CAMPAIGN_DAY = 1050
 REDEMPTION_MARGIN = 20
-DEMOGRAPHIC_BALANCE = 2500.0
 
 
 def _money(column: str) -> Column:
@@ -80,7 +81,7 @@ class RetailTables:
     @cached_property
     def campaigns(self) -> DataFrame:
         number = F.col("CAMPAIGN")
-        start = 700 + 60 * F.floor(number * 9 / 10)
+        start = FIRST_CAMPAIGN_DAY + 60 * F.floor(number * 9 / 10)
         return (self.source("part").select(_brand_number().alias("CAMPAIGN")).distinct()
                 .select(
                     F.concat(F.lit("Type"), F.substring(F.lit("ABC"), number % 3 + 1, F.lit(1)))
@@ -110,8 +111,7 @@ class RetailTables:
         intervals = self.assignments.join(
             self.campaigns.drop("DESCRIPTION"), "CAMPAIGN").select(
             "household_key", "CAMPAIGN", "START_DAY", "END_DAY")
-        coupon_lines = self.transactions.where(
-            F.col("coupon_line") & (F.col("DAY") <= LAST_REDEMPTION_DAY)).select(
+        coupon_lines = self.transactions.where("coupon_line").select(
             "household_key", "DAY", F.col("PRODUCT_ID").alias("COUPON_UPC"))
         lines, spans = coupon_lines.alias("l"), intervals.alias("s")
         return lines.join(
@@ -121,9 +121,10 @@ class RetailTables:
 
     @cached_property
     def demographics(self) -> DataFrame:
-        return (self.source("customer").where(F.col("c_acctbal") < DEMOGRAPHIC_BALANCE)
-                .select(F.col("c_mktsegment").alias("classification_1"),
-                        F.col("c_custkey").alias("household_key")))
+        known = self.source("events").select(F.col("user_id").alias("c_custkey"))
+        return self.source("customer").join(known, "c_custkey", "left_semi").select(
+            F.col("c_mktsegment").alias("classification_1"),
+            F.col("c_custkey").alias("household_key"))
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -137,9 +138,12 @@ class PreparedTables(RetailTables):
     day windows skip row groups and a crowded day or household splits over files.
     """
 
+    @cached_property
+    def place(self) -> str:
+        return f"retail-{uuid.uuid4().hex}"
+
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        folder = hashlib.md5(self.folder.encode()).hexdigest()
-        return stored(df, f"retail-{folder}/{name}")
+        return stored(df, f"{self.place}/{name}")
 
     @cached_property
     def campaigns(self) -> DataFrame:
@@ -159,12 +163,12 @@ class PreparedTables(RetailTables):
         return self._stored("redemptions", super().redemptions)
 
 
-_PREPARED: dict[tuple[str, str], PreparedTables] = {}
+_PREPARED: dict[tuple[str, str, str], PreparedTables] = {}
 
 
 def prepared_tables(spark: SparkSession, folder: str) -> PreparedTables:
-    """The stored tables of a folder, derived on first use within a session."""
-    key = (shared_folder(spark), folder)
+    """The stored tables of a folder, derived on first use and after a change of its files."""
+    key = (shared_folder(spark), folder, state_of(spark, folder))
     if key not in _PREPARED:
         _PREPARED[key] = PreparedTables(spark, folder)
     return _PREPARED[key]

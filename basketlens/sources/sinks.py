@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,23 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that no other call has."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def state_of(spark: SparkSession, folder: str) -> str:
+    """A digest of a folder's files: paths, lengths and times of change."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    listing = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while listing.hasNext():
+        status = listing.next()
+        found.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+    return md5("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table that many plans read below the shared folder, and read it from there.
 

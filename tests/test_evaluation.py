@@ -156,12 +156,13 @@ def test_saved_model_scores_the_same(frame, tmp_path):
         response.load_model(str(tmp_path), RESPONSE_FEATURES[::-1])
 
 
-@pytest.mark.parametrize("buckets", [1, 3])
-def test_permutation_moves_one_feature_and_keeps_its_values(frame, buckets):
+@pytest.mark.parametrize("digits", [0, 1, 3])
+def test_permutation_moves_one_feature_and_keeps_its_values(frame, digits, monkeypatch):
+    monkeypatch.setattr(response, "BAND_DIGITS", digits)
     _, data = model_rows(frame, 30)
     s = response.Standardizer.fit(data)
     pick = response.FeedForward(((1.0,) + (0.0,) * 13,), (100.0,), (1.0,), -100.0)
-    out = response.permuted_scores(data, s, pick, ["household_key", "CAMPAIGN"], 2, 9, buckets)
+    out = response.permuted_scores(data, s, pick, ["household_key", "CAMPAIGN"], 2, 9)
     plain = response.score(data, s, pick, keep=["household_key"])
     before = {r.household_key: r.raw_probability for r in plain.collect()}
     rows = out.collect()
