@@ -55,6 +55,16 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Packed and compressed, behind the count: most counts are small and most gaps alike."""
+    return len(values).to_bytes(8, "little") + pa.compress(packed(values), "zstd", asbytes=True)
+
+
+def expanded(data: bytes) -> np.ndarray:
+    count = int.from_bytes(data[:8], "little")
+    return unpacked(pa.decompress(data[8:], 8 * count, "zstd", asbytes=True))
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, an end after each, and the texts' offsets among them."""
     parts, counts = [], []
@@ -117,7 +127,7 @@ def _ask(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
         steps = keys[part].copy()
         steps[1:] -= keys[part][:-1]
         for column, values in zip(columns, (steps, trained[part], held[part])):
-            column.append(packed(values))
+            column.append(squeezed(values))
     return pa.table({"bucket": pa.array(full.astype(np.int32)),
                      "batch": pa.array([key[0].as_py()] * len(full), pa.int32()),
                      "keys": pa.array(columns[0], pa.binary()),
@@ -127,7 +137,7 @@ def _ask(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
 
 def _answer(table: pa.Table) -> pa.Table:
     """Sum a bucket's counts over batches and answer each batch in its own order."""
-    pieces = [np.cumsum(unpacked(k.as_py()), dtype=np.uint64) for k in table.column("keys")]
+    pieces = [np.cumsum(expanded(k.as_py()), dtype=np.uint64) for k in table.column("keys")]
     keys, place = np.unique(np.concatenate(pieces), return_inverse=True)
     ends = np.cumsum([0, *map(len, pieces)])
     del pieces
@@ -135,14 +145,14 @@ def _answer(table: pa.Table) -> pa.Table:
     for name in ("trained", "held"):
         total = np.zeros(len(keys), np.uint64)
         for value, a, b in zip(table.column(name), ends[:-1], ends[1:]):
-            total[place[a:b]] += unpacked(value.as_py())  # keys of one batch are distinct
+            total[place[a:b]] += expanded(value.as_py())  # keys of one batch are distinct
         sums.append(total)
     words = int(((sums[0] > 0) & (keys & np.uint64(1) == 0)).sum())
     batch = table.column("batch").to_numpy()
     return pa.table({
         "batch": pa.array(batch.astype(np.int32)), "bucket": table.column("bucket").cast(pa.int32()),
-        "trained": pa.array([packed(sums[0][place[a:b]]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-        "held": pa.array([packed(sums[1][place[a:b]]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+        "trained": pa.array([squeezed(sums[0][place[a:b]]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+        "held": pa.array([squeezed(sums[1][place[a:b]]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
         "words": pa.array(np.where(batch == batch.min(), words, 0).astype(np.int64))})
 
 
@@ -168,7 +178,7 @@ def _keep(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """Per document the training counts of its tokens and pairs; a batch's grid in its first row."""
     rows, at, keys, place = _distinct(texts)
     answers = answers.sort_by([("bucket", "ascending")])
-    trained, held = (np.concatenate([unpacked(x.as_py()) for x in answers.column(name)])
+    trained, held = (np.concatenate([expanded(x.as_py()) for x in answers.column(name)])
                      for name in ("trained", "held"))
     half = len(place) // 2
     token, pair = trained[place[:half]], trained[place[half:]]
