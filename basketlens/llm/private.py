@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.llm.store import hashed_sample
 from basketlens.llm.words import utf8
 
 KINDS = ("email", "ip", "card", "phone")
@@ -411,10 +412,9 @@ def labelled_windows(texts: list[str], count: int = TRAIN_WINDOWS, seed: int = 1
 
 def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Tagger | None:
     """Fit the tagger on a bounded sample of documents; none where no span is labelled."""
-    sample = (documents.select(F.xxhash64("doc_id").alias("order"), "doc_id",
-                               F.col("text").cast("string").alias("text"))
-              .where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 100_000))
-              .orderBy("order", "doc_id").limit(sample_rows).select("text").toArrow())
+    marked = (documents.select("doc_id", F.col("text").cast("string").alias("text"))
+              .where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 100_000)))
+    sample = hashed_sample(marked, sample_rows).select("text").toArrow()
     codes, tags = labelled_windows(sample.column("text").to_pylist())
     return fit_tagger(codes, tags) if (tags > 0).any() else None
 

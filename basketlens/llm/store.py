@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,10 +27,24 @@ def stored(frame: DataFrame) -> DataFrame:
     """``frame`` written as Parquet below the shared folder and read back."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def hashed_sample(frame: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
+    """The ``rows`` rows of least hash of ``key``, or all of a smaller frame.
+
+    Of a larger one only the share of hashes that holds them with room to spare is ordered,
+    so that the one task that orders sees some more than ``rows`` rows, not some of each task.
+    """
+    count = frame.count()
+    place = (F.xxhash64(key).cast("double") + 2.0 ** 63) / 2.0 ** 64
+    if count > rows:
+        share = (rows + 6 * rows ** 0.5 + 20) / count
+        frame = frame.where(place <= share)
+    return frame.orderBy(F.xxhash64(key), key).limit(rows)
+
+
 def shipped(spark: SparkSession) -> SparkSession:
     """The session, with this package's modules sent to its Python workers once."""
     context = spark.sparkContext

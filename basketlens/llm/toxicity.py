@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.llm.store import hashed_sample
 from basketlens.llm.words import ALPHANUMERIC, slices, word_hashes
 
 SAMPLE_ROWS = 16_000
@@ -146,11 +147,11 @@ def train(documents: DataFrame, labels: DataFrame,
           sample_rows: int = SAMPLE_ROWS) -> ChainModel:
     """Fit the chain on a bounded sample of the labelled documents."""
     marks = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL AND quality IS NOT NULL")
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
-             .withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(sample_rows))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality")))
+    marks = hashed_sample(marks, sample_rows)
     names = [name for name, _ in categories]
     sample = (documents.select("doc_id", F.col("text").cast("string").alias("text"))
-              .join(marks, "doc_id")
+              .join(F.broadcast(marks), "doc_id")  # at most sample_rows rows of three numbers
               .select(F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
                       *[F.expr(rule).cast("int").alias(name) for name, rule in categories], "text"))
     keep = len(names) + 1
