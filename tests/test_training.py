@@ -15,11 +15,11 @@ LINES = ("household_key bigint, BASKET_ID bigint, DAY int, PRODUCT_ID bigint, QU
 
 
 def test_history_is_the_lookback_before_each_start(frame):
-    """Campaign 62 sees the redemption of day 33 but no campaign that began within its 5 days;
-    63 sees only its own early redemption, which belongs to no earlier campaign."""
+    """Campaign 62 sees campaign 61, which began within its 7 days, and its redemption; 63 sees
+    only its own early redemption, which belongs to no earlier campaign."""
     campaigns = frame([(61, "A", 30, 33), (62, "B", 36, 38), (63, "C", 50, 52)], CAMPAIGNS)
     assigned = frame([(4, 61), (4, 62), (4, 63)], "household_key bigint, CAMPAIGN int")
-    lines = frame([(4, 900, 24, 1, 1, 50.0, 0.0, 0.0, 0.0),    # before every lookback of 5 days
+    lines = frame([(4, 900, 22, 1, 1, 50.0, 0.0, 0.0, 0.0),    # before every lookback of 7 days
                    (4, 901, 29, 1, 2, 12.5, -0.5, -2.0, 0.0),
                    (4, 902, 30, 2, 1, 8.0, 0.0, 0.0, 0.0),     # on a start day
                    (4, 903, 35, 2, 3, 6.0, 0.0, 0.0, 0.0),
@@ -32,9 +32,9 @@ def test_history_is_the_lookback_before_each_start(frame):
              "historical_coupon_basket_count", "target_redeemed", "prior_coupon_redemption_count",
              "prior_campaign_exposure_count", "prior_campaign_redemption_count")
     rows = response_dataset(campaigns, assigned, lines, products, redeemed,
-                            SplitPlan(5, 0.34, 0.33)).collect()
+                            SplitPlan(7, 0.34, 0.33)).collect()
     assert {r.CAMPAIGN: [r[n] for n in names] for r in rows} == {
-        61: [12.5, 1, 1, 1, 1, 0, 0, 0], 62: [6.0, 1, 1, 0, 0, 1, 0, 1],
+        61: [12.5, 1, 1, 1, 1, 0, 0, 0], 62: [26.5, 3, 1, 1, 0, 1, 1, 1],
         63: [3.25, 1, 3, 0, 0, 1, 0, 0]}
 
 
