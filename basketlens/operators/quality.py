@@ -132,9 +132,10 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.agg(F.array(*[summary(name) for name in columns]).alias("s")).select(F.inline("s"))
 
 
-def sample_records(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first rows as JSON text."""
-    return df.limit(n).select(F.to_json(F.struct("*")).alias("record"))
+def sample_records(df: DataFrame, n: int = 5, key: Sequence[str] = ()) -> DataFrame:
+    """The first rows as JSON text: by key, or any rows without one."""
+    rows = df.orderBy(*key) if key else df
+    return rows.limit(n).select(F.to_json(F.struct("*")).alias("record"))
 
 
 def inference_drift(as_text: DataFrame, inferred: DataFrame) -> DataFrame:

@@ -8,11 +8,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression, LogisticRegressionModel, MultilayerPerceptronClassifier,
-)
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketlens.contracts import RESPONSE_FEATURES
@@ -182,6 +181,12 @@ def score(dataset: DataFrame, standardizer: Standardizer, network: FeedForward,
         "calibrated_response_probability", calibrator.probability(F.col("logit")))
 
 
+def _newton_logistic(max_iter: int = 50) -> GeneralizedLinearRegression:
+    """Maximum likelihood by weighted least squares: few passes over the rows."""
+    return GeneralizedLinearRegression(family="binomial", link="logit", weightCol="weight",
+                                       regParam=0.0, tol=1e-12, maxIter=max_iter)
+
+
 def fit_calibrator(validation: DataFrame, logit: str = "logit",
                    label: str = "target_redeemed") -> Calibrator:
     """Maximum-likelihood slope and intercept on validation logits."""
@@ -189,11 +194,11 @@ def fit_calibrator(validation: DataFrame, logit: str = "logit",
         F.count(F.lit(1)).alias("rows"), F.sum(label).alias("positives")).first()
     if not classes.rows or not 0 < classes.positives < classes.rows:
         raise ValueError("calibration needs validation rows of both classes")
-    inputs = validation.select(
-        array_to_vector(F.array(F.col(logit).cast("double"))).alias("features"),
-        F.col(label).cast("double").alias("label"))
-    fitted = LogisticRegression(regParam=0.0, standardization=False, tol=1e-10,
-                                maxIter=200).fit(inputs)
+    counted = validation.groupBy(F.col(logit).cast("double").alias("x"),
+                                 F.col(label).cast("double").alias("label")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight"))
+    fitted = _newton_logistic().fit(counted.select(
+        array_to_vector(F.array("x")).alias("features"), "label", "weight"))
     return Calibrator(float(fitted.coefficients[0]), float(fitted.intercept), "validation",
                       classes.rows, classes.positives)
 
@@ -209,12 +214,11 @@ def _learning_frame(dataset: DataFrame, standardizer: Standardizer,
 
 
 def fit_logistic(train: DataFrame, standardizer: Standardizer,
-                 weighted: bool = True, max_iter: int = 100) -> PipelineModel:
+                 weighted: bool = True, max_iter: int = 50) -> PipelineModel:
     """Class-weighted logistic regression on standardized features."""
     weight = class_balance(train).first().positive_weight if weighted else None
     assembler = VectorAssembler(inputCols=list(standardizer.features), outputCol="features")
-    estimator = LogisticRegression(weightCol="weight", regParam=0.0, maxIter=max_iter)
-    return Pipeline(stages=[assembler, estimator]).fit(
+    return Pipeline(stages=[assembler, _newton_logistic(max_iter)]).fit(
         _learning_frame(train, standardizer, weight))
 
 
@@ -229,7 +233,7 @@ def fit_perceptron(train: DataFrame, standardizer: Standardizer, hidden_units: i
         _learning_frame(train, standardizer, None))
 
 
-def linear_logit(model: LogisticRegressionModel, standardizer: Standardizer) -> Column:
+def linear_logit(model: GeneralizedLinearRegressionModel, standardizer: Standardizer) -> Column:
     """A fitted logistic regression as one column expression, inside generated code."""
     terms = [F.lit(float(weight)) * standardizer.column(name) for weight, name in zip(
         model.coefficients, standardizer.features)]
@@ -241,7 +245,7 @@ def apply_model(dataset: DataFrame, standardizer: Standardizer,
     """Logit and probability of a fitted pipeline for every row."""
     keep = ["household_key", "CAMPAIGN", "data_split", "target_redeemed"]
     fitted = model.stages[-1]
-    if isinstance(fitted, LogisticRegressionModel):
+    if isinstance(fitted, GeneralizedLinearRegressionModel):
         scored = dataset.select(*keep, linear_logit(fitted, standardizer).alias("logit"))
     else:
         raw = vector_to_array("rawPrediction")

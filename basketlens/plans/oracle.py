@@ -566,6 +566,29 @@ SELECT data_split, round(c.roc_auc - r.roc_auc, 6) AS roc_auc_delta,
 FROM (SELECT * FROM model_report WHERE score_kind = 'calibrated') c
 JOIN (SELECT * FROM model_report WHERE score_kind = 'raw') r USING (data_split)""")
 
+# Fitted models, by what their maximum must satisfy
+
+step("training_weight", """
+SELECT CAST(count(*) FILTER (target_redeemed = 0) AS DOUBLE) / count(*) FILTER (target_redeemed = 1) AS w
+FROM dataset WHERE data_split = 'train'""")
+oracle("fitted_logistic_report", "SELECT 'constant' AS feature, round(sum(w * target_redeemed), 1) "
+       "AS weighted_sum FROM standardized, training_weight WHERE data_split = 'train'" + "".join(f"""
+UNION ALL SELECT '{f}', round(sum(w * target_redeemed * z{i}), 1)
+FROM standardized, training_weight WHERE data_split = 'train'""" for i, f in enumerate(RESPONSE_FEATURES)))
+oracle("fitted_perceptron_report", """
+SELECT data_split, score_kind, count(*) AS rows, CAST(sum(target_redeemed) AS BIGINT) AS positives,
+       true AS probabilities, CASE WHEN data_split = 'train' AND score_kind = 'raw' THEN true END AS better_than_chance
+FROM dataset, (SELECT unnest(['raw', 'calibrated']) AS score_kind) GROUP BY 1, 2""")
+oracle("platt_calibrator", """
+SELECT 'platt_scaling' AS method, count(*) AS fit_rows,
+       CAST(sum(target_redeemed) AS BIGINT) AS fit_positive_rows,
+       round(CAST(sum(target_redeemed) AS DOUBLE), 3) AS fitted_positives,
+       round(sum(target_redeemed * logit), 3) AS fitted_logits
+FROM scores WHERE data_split = 'validation'""")
+oracle("sample_records", """
+SELECT CAST(PRODUCT_ID AS VARCHAR) AS PRODUCT_ID, DEPARTMENT, BRAND, COMMODITY_DESC, CURR_SIZE_OF_PRODUCT
+FROM catalog ORDER BY catalog.PRODUCT_ID LIMIT 5""")
+
 # Permutation sensitivity: rows in digest order take the next row's value
 
 step("ring", f"""

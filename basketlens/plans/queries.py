@@ -230,7 +230,10 @@ def transaction_schema(a: RetailAnalysis) -> DataFrame:
 
 @query
 def sample_records(a: RetailAnalysis) -> DataFrame:
-    return quality.sample_records(a.tables.products)
+    """The first products by key, read back from their JSON text."""
+    records = quality.sample_records(a.tables.products, key=["PRODUCT_ID"])
+    names = ("PRODUCT_ID", "DEPARTMENT", "BRAND", "COMMODITY_DESC", "CURR_SIZE_OF_PRODUCT")
+    return records.select(F.json_tuple("record", *names).alias(*names))
 
 
 @query
@@ -327,32 +330,60 @@ def frozen_network_scores(a: RetailAnalysis) -> DataFrame:
                            "raw_probability", "calibrated_response_probability")
 
 
-def _fit_report(a: RetailAnalysis, fit: Callable) -> DataFrame:
-    """Fit on training rows, calibrate on validation rows, report on all splits."""
+def _fit(a: RetailAnalysis, fit: Callable) -> tuple[DataFrame, response.Calibrator]:
+    """Scores of a model fitted on training rows, and a calibrator fitted on validation rows."""
     s = a.standardizer
     model = fit(response.in_split(a.stored_dataset, "train"), s)
     scored = response.apply_model(a.stored_dataset, s, model)
-    calibrator = response.fit_calibrator(response.in_split(scored, "validation"))
-    both = scored.withColumn("calibrated", calibrator.probability(F.col("logit")))
-    long = evaluation.long_scores(both, {"raw": "raw_probability", "calibrated": "calibrated"},
-                                  ["data_split", "target_redeemed"])
-    return evaluation.full_report(long, ["data_split", "score_kind"])
+    return scored, response.fit_calibrator(response.in_split(scored, "validation"))
 
 
 @query
 def fitted_logistic_report(a: RetailAnalysis) -> DataFrame:
-    return _fit_report(a, response.fit_logistic)
+    """The score equations of the fit: at the maximum, weighted sums of probability x input
+    equal those of label x input.  Inputs are the features and a constant."""
+    scored, _ = _fit(a, response.fit_logistic)
+    train = response.in_split(a.stored_dataset, "train")
+    weight = F.when(F.col("target_redeemed") == 1, response.class_balance(train).select(
+        "positive_weight").scalar()).otherwise(1.0)
+    rows = (response.in_split(scored, "train").select("household_key", "CAMPAIGN", "raw_probability")
+            .join(train, ["household_key", "CAMPAIGN"])
+            .select((weight * F.col("raw_probability")).alias("fitted"),
+                    F.concat(F.array(F.lit(1.0)), a.standardizer.vector()).alias("x")))
+    sums = rows.agg(*[F.round(F.sum(F.col("fitted") * F.get("x", F.lit(i))), 1).alias(name)
+                      for i, name in enumerate(("constant", *a.standardizer.features))])
+    return sums.unpivot([], list(sums.columns), "feature", "weighted_sum")
 
 
 @query
 def fitted_perceptron_report(a: RetailAnalysis) -> DataFrame:
-    return _fit_report(a, response.fit_perceptron)
+    """Rows and positives by split, whether all scores are probabilities, raw and
+    calibrated, and whether those of training rows rank better than chance."""
+    scored, calibrator = _fit(a, response.fit_perceptron)
+    both = scored.withColumn("calibrated", calibrator.probability(F.col("logit")))
+    long = evaluation.long_scores(both, {"raw": "raw_probability", "calibrated": "calibrated"},
+                                  ["data_split", "target_redeemed"])
+    report = evaluation.full_report(long, ["data_split", "score_kind"])
+    sound = long.groupBy("data_split", "score_kind").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("target_redeemed").alias("positives"),
+        F.every(F.col("score").between(0, 1)).alias("probabilities"))
+    return sound.join(report, ["data_split", "score_kind"]).select(
+        "data_split", "score_kind", sound["rows"], sound["positives"], "probabilities",
+        F.when((F.col("data_split") == "train") & (F.col("score_kind") == "raw"),
+               F.col("roc_auc") > 0.5).alias("better_than_chance"))
 
 
 @query
 def platt_calibrator(a: RetailAnalysis) -> DataFrame:
+    """The calibrator's score equations: fitted positives, and their sum of logits."""
     validation = response.in_split(a.scores, "validation")
-    return response.fit_calibrator(validation).frame(a.tables.spark)
+    calibrator = response.fit_calibrator(validation)
+    fitted = calibrator.probability(F.col("logit"))
+    return validation.agg(
+        F.lit("platt_scaling").alias("method"), F.lit(calibrator.fit_rows).cast("bigint").alias("fit_rows"),
+        F.lit(calibrator.fit_positive_rows).cast("bigint").alias("fit_positive_rows"),
+        F.round(F.sum(fitted), 3).alias("fitted_positives"),
+        F.round(F.sum(fitted * F.col("logit")), 3).alias("fitted_logits"))
 
 
 @query
