@@ -24,11 +24,6 @@ def monthly_rate(annual_rate: float) -> float:
     return math.pow(1.0 + check_amount(annual_rate, "annual rate"), 1.0 / 12.0) - 1.0
 
 
-def monthly_rate_column(annual_rate: Column) -> Column:
-    return F.when(annual_rate >= 0, F.pow(1.0 + annual_rate, F.lit(1.0 / 12.0)) - 1.0).otherwise(
-        F.raise_error(F.lit("annual rate must not be negative")).cast("double"))
-
-
 def annuity_factor(retention: float, annual_rate: float, months: int) -> float:
     """Present value of 1 per month that survives with ``retention`` per month.
 
@@ -41,13 +36,6 @@ def annuity_factor(retention: float, annual_rate: float, months: int) -> float:
     return math.fsum(retention ** (month - 1) / step ** month for month in range(1, months + 1))
 
 
-def annuity_factor_column(retention: Column, rate: Column, months: int) -> Column:
-    """The same factor where retention and monthly rate vary by row (scenario tables)."""
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(months)), F.lit(0.0),
-        lambda total, month: total + F.pow(retention, month - 1) / F.pow(1.0 + rate, month))
-
-
 def clv(monthly_revenue: Column, margin: float, retention: float, annual_rate: float,
         months: int) -> Column:
     """Modeled customer value over a horizon; fails on negative or non-finite revenue."""

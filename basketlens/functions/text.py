@@ -19,10 +19,5 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda word: ~word.isin(*STOP_WORDS))
 
 
-def contains_word(text: Column, *phrases: str) -> Column:
-    """Whether a text holds one of the phrases as whole words."""
-    return text.rlike(r"\b(?:" + "|".join(phrases) + r")\b")
-
-
 def is_blank(value: Column) -> Column:
     return value.isNull() | (F.trim(value.cast("string")) == "")

@@ -6,10 +6,11 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketlens.functions.finance import annuity_factor, monthly_rate, offer_value
+from basketlens.functions.finance import annuity_factor, clv, monthly_rate, offer_value
 from basketlens.operators.ordering import lower_quantiles
 from basketlens.operators.quality import many_to_one
 from basketlens.settings import FinanceAssumptions, SensitivityGrid
+from basketlens.sources.readers import literal_rows
 
 def lower_median(df: DataFrame, column: str) -> Column:
     """The lower middle value, exact at any size, as a literal."""
@@ -19,8 +20,8 @@ def lower_median(df: DataFrame, column: str) -> Column:
 def customer_economics(customers: DataFrame, f: FinanceAssumptions) -> DataFrame:
     """Monthly revenue over the data's span, and discounted value over two horizons."""
     def value(months: int) -> Column:
-        return F.col("estimated_monthly_contribution") * F.lit(
-            annuity_factor(f.monthly_retention_rate, f.annual_discount_rate, months))
+        return clv(F.col("estimated_monthly_revenue"), f.contribution_margin,
+                   f.monthly_retention_rate, f.annual_discount_rate, months)
 
     return (customers
             .withColumns({
@@ -74,15 +75,11 @@ def offer_summary(offers: DataFrame) -> DataFrame:
         F.avg("break_even_offer_cost").alias("mean_break_even_offer_cost"))
 
 
-def _literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    return spark.createDataFrame(rows, ddl)
-
-
 def scenario_grid(spark: SparkSession, grid: SensitivityGrid, months: int) -> DataFrame:
     """All combinations of the stated assumptions with their annuity factor."""
     rows = [(m, r, d, c, annuity_factor(r, d, months)) for m, r, d, c in product(
         grid.margins, grid.retentions, grid.discount_rates, grid.offer_costs)]
-    return _literal_table(
+    return literal_rows(
         spark, rows, "contribution_margin double, monthly_retention_rate double, "
                      "annual_discount_rate double, offer_cost double, factor double")
 
@@ -101,7 +98,7 @@ def one_factor_scenarios(spark: SparkSession, f: FinanceAssumptions,
             case = {**base, name: value}
             rows.append((name, float(value), float(case["contribution_margin"]), annuity_factor(
                 case["monthly_retention_rate"], case["annual_discount_rate"], f.short_horizon)))
-    return _literal_table(
+    return literal_rows(
         spark, rows, "varied_assumption string, value double, margin double, factor double")
 
 
@@ -134,4 +131,4 @@ def assumptions_table(spark: SparkSession, f: FinanceAssumptions) -> DataFrame:
     rows = [(name, str(getattr(f, name))) for name in f.__dataclass_fields__]
     rows += [("observed_history_months", str(f.observed_months)),
              ("monthly_discount_rate", str(monthly_rate(f.annual_discount_rate)))]
-    return _literal_table(spark, rows, "assumption string, setting string")
+    return literal_rows(spark, rows, "assumption string, setting string")

@@ -6,6 +6,7 @@ no special case and a score shared by many rows is a single row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from basketlens.functions.bins import bin_of, unit_edges
 from basketlens.functions.probability import log_loss
 
-SCORE_BANDS = 10_000
+SCORE_BANDS = 256
 THRESHOLD_METRICS = (
     "accuracy", "precision", "recall", "f1", "true_negative", "false_positive",
     "false_negative", "true_positive", "positive_prediction_rate",
@@ -38,13 +39,28 @@ def score_counts(scored: DataFrame, groups: Sequence[str], score: str = "score",
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
 
 
+def _band(score: Column, cuts: Column) -> Column:
+    """How many cut points do not exceed the score, by a coarse and then a fine step."""
+    width = math.isqrt(SCORE_BANDS)
+    coarse = F.filter(cuts, lambda cut, i: (i % width == 0) & (cut <= score))
+    passed = F.greatest(F.size(coarse), F.lit(1))
+    fine = F.filter(F.slice(cuts, (passed - 1) * width + 1, width), lambda cut: cut <= score)
+    return (passed - 1) * width + F.size(fine)
+
+
 def _ranking(counts: DataFrame, groups: list[str]) -> DataFrame:
     """Cumulative counts in two levels: within narrow bands of scores and over bands.
 
-    No task ever orders all scores of a group.
+    Bands hold about equally many distinct scores, wherever the scores lie: their cut points
+    come from a sketch, which decides on the work of a task and not on any sum.  No task
+    ever orders all scores of a group.
     """
-    distinct = counts.withColumn("band", F.greatest(F.lit(0), F.least(
-        F.floor(F.col("score") * SCORE_BANDS), F.lit(SCORE_BANDS - 1))))
+    shares = [i / SCORE_BANDS for i in range(1, SCORE_BANDS)]
+    cuts = counts.groupBy(*groups).agg(
+        F.percentile_approx("score", shares, 20 * SCORE_BANDS).alias("cuts"))
+    same_group = [F.col(f"c.{g}").eqNullSafe(F.col(f"k.{g}")) for g in groups]
+    distinct = counts.alias("c").join(cuts.alias("k"), same_group).select(
+        "c.*", _band(F.col("score"), F.col("cuts")).alias("band"))
     whole = Window.partitionBy(*groups)
     higher = (whole.orderBy(F.desc("band"))
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlens.operators.marts import covered_campaigns, offers_per_household
+from basketlens.operators.response import Calibrator
 
 CLV_METRICS = ("modeled_12_month_clv", "modeled_24_month_clv")
 CAMPAIGN_FIELDS = (
@@ -75,14 +76,24 @@ def offer_lookup(offers: DataFrame, household_key: int | None = None,
     if campaign is not None:
         offers = offers.where(F.col("CAMPAIGN") == campaign)
     return offers.select(*OFFER_FIELDS).orderBy(
-        F.desc("modeled_expected_offer_value"), "household_key", "CAMPAIGN").limit(limit)
+        F.desc("modeled_expected_offer_value"), "household_key", "CAMPAIGN").limit(
+        check_limit(limit, 100))
 
 
-def model_metrics(report: DataFrame, baselines: DataFrame, split: str = "test") -> DataFrame:
-    """Stored metrics of one split; baselines are reported for the test split only."""
+def model_metrics(report: DataFrame, baselines: DataFrame, calibrator: Calibrator,
+                  split: str = "test") -> DataFrame:
+    """Stored metrics of one split, with how its scores were calibrated.
+
+    Calibrated scores are reported for validation and test rows, baselines for the test split.
+    """
     if split not in ("train", "validation", "test"):
         raise ValueError(f"unknown split {split!r}")
     chosen = report.where(F.col("data_split") == split)
-    if split != "test":
-        return chosen
-    return chosen.unionByName(baselines.where(F.col("data_split") == split))
+    if split == "train":
+        chosen = chosen.where(F.col("score_kind") != "calibrated")
+    if split == "test":
+        chosen = chosen.unionByName(baselines.where(F.col("data_split") == split))
+    calibrated = F.col("score_kind") == "calibrated"
+    return chosen.withColumns({
+        "calibration_method": F.when(calibrated, "platt_scaling"),
+        "calibration_split": F.when(calibrated, calibrator.fit_split)})

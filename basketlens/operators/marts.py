@@ -68,14 +68,19 @@ def headline_figures(customers: DataFrame, economics: DataFrame, campaigns: Data
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Counts in equal-width bins between the smallest and the largest value."""
+    """Counts in equal-width bins between the smallest and the largest value, empty bins too."""
     low, high = df.agg(F.min(column)).scalar(), df.agg(F.max(column)).scalar()
     value = F.col(column)
     counts = df.where(value.isNotNull()).groupBy(
-        equal_width_bin(value, low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
-    width = (high - low) / bins
-    return counts.select("bin", (low + F.col("bin") * width).alias("lower_bound"),
-                         (low + (F.col("bin") + 1) * width).alias("upper_bound"), "rows")
+        equal_width_bin(value, low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    spans = (df.agg(F.min(column).alias("low"), F.max(column).alias("high"))
+             .where(F.col("low").isNotNull())
+             .select("low", ((F.col("high") - F.col("low")) / bins).alias("width"),
+                     F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))
+    return spans.join(counts, "bin", "left").select(
+        "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("lower_bound"),
+        (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("upper_bound"),
+        F.coalesce("n", F.lit(0)).alias("rows"))
 
 
 def top_products(products: DataFrame, n: int = 10) -> DataFrame:

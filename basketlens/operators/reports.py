@@ -10,10 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 SQL_FOLDER = Path(__file__).resolve().parent.parent / "sql"
 
 
-def report_names() -> list[str]:
-    return sorted(path.stem for path in SQL_FOLDER.glob("*.sql"))
-
-
 def run_report(spark: SparkSession, name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Run a report over the given tables, without registering session-wide views."""
     text = (SQL_FOLDER / f"{name}.sql").read_text()

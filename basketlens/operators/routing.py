@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # How identifiers and list lengths are written in questions.
 HOUSEHOLD = r"\b(?:household|customer|hh)(?:\s+key)?\s*#?\s*(\d+)\b"
@@ -33,9 +34,13 @@ MODEL = ("model", "roc-auc", "average precision", "calibration", "brier", "basel
 LARGEST_LIST = {"rank_customers": 100, "rank_campaigns": 30}
 
 
+#: How a word may go on after its stem: "topic" is no mention of "top".
+ENDINGS = r"(?:s|d|ed|ing|ion|ions)?\b"
+
+
 def _mentions(text: Column, *stems: str) -> Column:
-    """Some word of the text starts with one of the stems."""
-    return text.rlike(r"\b(?:" + "|".join(stems) + ")")
+    """Some word or phrase of the text is one of the stems, as it is or with a usual ending."""
+    return text.rlike(r"\b(?:" + "|".join(stems) + ")" + ENDINGS)
 
 
 def _number(text: Column, pattern: str) -> Column:
@@ -43,6 +48,11 @@ def _number(text: Column, pattern: str) -> Column:
     return F.when(found != "", found.try_cast("bigint"))
 
 
+def _named(text: Column, pattern: str) -> Column:
+    """Whether an identifier is written, be it too long for a number."""
+    return F.regexp_extract(text, pattern, 1) != ""
+
+
 def tag_questions(questions: DataFrame, text_column: str = "question") -> DataFrame:
     """Add tool, identifiers, metric, list length and a status to every question.
 
@@ -60,9 +70,9 @@ def tag_questions(questions: DataFrame, text_column: str = "question") -> DataFr
         return reduce(lambda a, b: a & b, [_mentions(text, *stems) for stems in topics])
 
     rules = (
-        ("offer_economics_lookup", household.isNotNull() & about(OFFER_DETAIL)),
-        ("customer_lookup", household.isNotNull()),
-        ("campaign_lookup", campaign.isNotNull() & about(CAMPAIGN_DETAIL)),
+        ("offer_economics_lookup", _named(text, HOUSEHOLD) & about(OFFER_DETAIL)),
+        ("customer_lookup", _named(text, HOUSEHOLD)),
+        ("campaign_lookup", _named(text, CAMPAIGN) & about(CAMPAIGN_DETAIL)),
         ("rank_campaigns", about(CAMPAIGN_WORD, BEST, REDEMPTION)),
         ("rank_customers", about(MOST_VALUABLE, CUSTOMER_VALUE)),
         ("clv_assumptions", about(ASSUMPTION, ASSUMPTION_USE)),
@@ -82,5 +92,68 @@ def tag_questions(questions: DataFrame, text_column: str = "question") -> DataFr
         .when(chosen == "rank_campaigns", "descriptive_redemption_rate"),
         "row_limit": F.when(largest.isNotNull(), rows).cast("bigint"),
         "status": F.when(chosen.isNull(), "no_tool")
+        .when((_named(text, HOUSEHOLD) & F.col("household_key").isNull())
+              | (_named(text, CAMPAIGN) & F.col("CAMPAIGN").isNull()), "unknown_identifier")
         .when(largest.isNotNull() & (rows != F.col("asked_rows")), "limit_clamped")
         .otherwise("routed")}).drop("asked_rows")
+
+
+def answer_questions(tagged: DataFrame, tables: Mapping[str, DataFrame],
+                     key: str = "question_id", most: int = 20) -> DataFrame:
+    """The rows that answer tagged questions, as JSON texts in an array, with a status.
+
+    ``tables`` holds the served tables by tool: ``customer_lookup`` by household_key,
+    ``campaign_lookup`` by CAMPAIGN, ``offer_economics_lookup`` by both, the rankings with
+    ``place`` (and ``metric`` where there are several), ``clv_assumptions`` and
+    ``model_metrics`` whole.  Each tool is one equality join of its questions with its table,
+    whatever the number of questions; lists hold at most ``most`` offers or the asked rows;
+    a question about offers in general gets the best of all.
+    """
+    def record(df: DataFrame, *keys: str) -> DataFrame:
+        plain = [name for name in df.columns if name != "place"]
+        order = F.col("place") if "place" in df.columns else F.lit(1)
+        return df.select(*keys, order.alias("place"),
+                         F.to_json(F.struct(*sorted(plain))).alias("record"))
+
+    def of(tool: str, condition: Column | None = None) -> DataFrame:
+        asked = tagged.where((F.col("tool") == tool) & (F.col("status") != "unknown_identifier"))
+        asked = asked if condition is None else asked.where(condition)
+        return asked.select(key, "household_key", "CAMPAIGN", "metric", "row_limit",
+                            F.lit(tool).alias("by"))
+
+    offers = tables["offer_economics_lookup"]
+
+    def best_of(*keys: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy(
+            F.desc("modeled_expected_offer_value"), "household_key", "CAMPAIGN")
+        return record(offers.withColumn("place", F.row_number().over(order))
+                      .where(F.col("place") <= most), *keys)
+
+    no_household, no_campaign = F.col("household_key").isNull(), F.col("CAMPAIGN").isNull()
+    tool = "offer_economics_lookup"
+    parts = [
+        of("customer_lookup").join(record(tables["customer_lookup"], "household_key"), "household_key"),
+        of("campaign_lookup").join(record(tables["campaign_lookup"], "CAMPAIGN"), "CAMPAIGN"),
+        of(tool, ~no_household & ~no_campaign).join(
+            best_of("household_key", "CAMPAIGN"), ["household_key", "CAMPAIGN"]),
+        of(tool, ~no_household & no_campaign).join(best_of("household_key"), "household_key"),
+        of(tool, no_household & ~no_campaign).join(best_of("CAMPAIGN"), "CAMPAIGN"),
+        of(tool, no_household & no_campaign).join(record(
+            offers.orderBy(F.desc("modeled_expected_offer_value"), "household_key", "CAMPAIGN")
+            .limit(most).withColumn("by", F.lit(tool)).withColumn("place", F.row_number().over(
+                Window.partitionBy("by").orderBy(F.desc("modeled_expected_offer_value"),
+                                                 "household_key", "CAMPAIGN"))), "by"), "by"),
+        of("rank_customers").join(record(tables["rank_customers"], "metric"), "metric").where(
+            F.col("place") <= F.col("row_limit")),
+        of("rank_campaigns").join(record(tables["rank_campaigns"], "metric"), "metric").where(
+            F.col("place") <= F.col("row_limit")),
+        of("clv_assumptions").join(record(
+            tables["clv_assumptions"].withColumn("by", F.lit("clv_assumptions")), "by"), "by"),
+        of("model_metrics").join(record(
+            tables["model_metrics"].withColumn("by", F.lit("model_metrics")), "by"), "by")]
+    rows = reduce(lambda a, b: a.unionByName(b), [p.select(key, "place", "record") for p in parts])
+    lists = rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("place", "record"))), lambda x: x["record"]).alias("answer"))
+    return tagged.join(lists, key, "left").withColumn(
+        "status", F.when(F.col("tool").isNotNull() & F.col("answer").isNull(), "unavailable")
+        .otherwise(F.col("status")))

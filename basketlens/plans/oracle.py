@@ -13,6 +13,7 @@ from basketlens.contracts import RESPONSE_FEATURES
 from basketlens.functions.text import STOP_WORDS
 from basketlens.operators import routing as words
 from basketlens.plans.frozen import FROZEN_CALIBRATOR, FROZEN_NETWORK
+from basketlens.settings import FinanceAssumptions
 
 STEPS: dict[str, str] = {}
 ORACLE: dict[str, str] = {}
@@ -553,9 +554,13 @@ oracle("reliability_bins", rounded(
 oracle("model_report", f"SELECT data_split, score_kind, observations, {_REPORT_SQL} FROM model_report")
 oracle("baseline_report", f"SELECT data_split, score_kind, observations, {_REPORT_SQL} FROM base_report")
 oracle("model_metrics", f"""
-SELECT data_split, score_kind, observations, {_REPORT_SQL} FROM model_report WHERE data_split = 'test'
+SELECT data_split, score_kind, observations, {_REPORT_SQL},
+       CASE score_kind WHEN 'calibrated' THEN 'platt_scaling' END AS calibration_method,
+       CASE score_kind WHEN 'calibrated' THEN 'validation' END AS calibration_split
+FROM model_report WHERE data_split <> 'train' OR score_kind = 'raw'
 UNION ALL
-SELECT data_split, score_kind, observations, {_REPORT_SQL} FROM base_report WHERE data_split = 'test'""")
+SELECT data_split, score_kind, observations, {_REPORT_SQL}, NULL, NULL
+FROM base_report WHERE data_split = 'test'""")
 _TABLE_SQL = ", ".join(f"round({m}, 6) AS {m}" for m in _REPORT[:-1])
 oracle("metric_comparison", f"""
 SELECT data_split, score_kind, {_TABLE_SQL} FROM model_report
@@ -761,12 +766,14 @@ for _name, _table, _column, _bins in (
         ("probability_histogram", "offers", "calibrated_response_probability", 30),
         ("offer_value_histogram", "offers", "modeled_expected_offer_value", 35)):
     oracle(_name, f"""
-SELECT bin, round(low + bin * ((high - low) / {_bins}), 4) AS lower_bound,
-       round(low + (bin + 1) * ((high - low) / {_bins}), 4) AS upper_bound, count(*) AS rows
-FROM (SELECT CAST(least({_bins - 1}, floor((v - low) / (high - low) * {_bins})) AS INTEGER) AS bin, low, high
+SELECT b.bin, round(low + b.bin * ((high - low) / {_bins}), 4) AS lower_bound,
+       round(low + (b.bin + 1) * ((high - low) / {_bins}), 4) AS upper_bound,
+       count(*) FILTER (v.bin = b.bin) AS rows
+FROM (SELECT CAST(unnest(generate_series(0, {_bins - 1})) AS INTEGER) AS bin) b,
+     (SELECT v, CAST(least({_bins - 1}, floor((v - low) / (high - low) * {_bins})) AS INTEGER) AS bin, low, high
       FROM (SELECT round({_column}, 6) AS v, min(round({_column}, 6)) OVER () AS low,
-                   max(round({_column}, 6)) OVER () AS high FROM {_table}))
-GROUP BY bin, low, high""")
+                   max(round({_column}, 6)) OVER () AS high FROM {_table})) v
+GROUP BY b.bin, low, high""")
 oracle("top_products", """
 SELECT PRODUCT_ID, DEPARTMENT, total_sales FROM product_features
 ORDER BY total_sales DESC, PRODUCT_ID LIMIT 10""")
@@ -861,7 +868,7 @@ ORDER BY offers.modeled_expected_offer_value DESC, household_key LIMIT 20""")
 
 
 def _starts(*stems: str) -> str:
-    return "regexp_matches(q, '\\b(?:" + "|".join(stems) + ")')"
+    return "regexp_matches(q, '\\b(?:" + "|".join(stems) + ")(?:s|d|ed|ing|ion|ions)?\\b')"
 
 
 step("questions", r"""
@@ -885,6 +892,8 @@ SELECT 't' || conv_id || '-' || turn,
 FROM conversations""")
 step("read_questions", f"""
 SELECT question_id, q,
+       regexp_extract(q, '{words.HOUSEHOLD}', 1) <> '' AS has_household,
+       regexp_extract(q, '{words.CAMPAIGN}', 1) <> '' AS has_campaign,
        TRY_CAST(nullif(regexp_extract(q, '{words.HOUSEHOLD}', 1), '') AS BIGINT) AS household_key,
        TRY_CAST(nullif(regexp_extract(q, '{words.CAMPAIGN}', 1), '') AS BIGINT) AS CAMPAIGN,
        coalesce(TRY_CAST(nullif(regexp_extract(q, '{words.COUNT}', 1), '') AS BIGINT),
@@ -893,9 +902,9 @@ SELECT question_id, q,
 FROM (SELECT question_id, lower(question) AS q FROM questions)""")
 step("routed", f"""
 SELECT *, CASE
-  WHEN household_key IS NOT NULL AND {_starts(*words.OFFER_DETAIL)} THEN 'offer_economics_lookup'
-  WHEN household_key IS NOT NULL THEN 'customer_lookup'
-  WHEN CAMPAIGN IS NOT NULL AND {_starts(*words.CAMPAIGN_DETAIL)} THEN 'campaign_lookup'
+  WHEN has_household AND {_starts(*words.OFFER_DETAIL)} THEN 'offer_economics_lookup'
+  WHEN has_household THEN 'customer_lookup'
+  WHEN has_campaign AND {_starts(*words.CAMPAIGN_DETAIL)} THEN 'campaign_lookup'
   WHEN {_starts(*words.CAMPAIGN_WORD)} AND {_starts(*words.BEST)} AND {_starts(*words.REDEMPTION)}
     THEN 'rank_campaigns'
   WHEN {_starts(*words.MOST_VALUABLE)} AND {_starts(*words.CUSTOMER_VALUE)} THEN 'rank_customers'
@@ -905,7 +914,7 @@ SELECT *, CASE
   WHEN {_starts(*words.OFFER)} AND {_starts(*words.OFFER_VALUE)}
     THEN 'offer_economics_lookup' END AS tool
 FROM read_questions""")
-oracle("tagged_questions", f"""
+step("tagged", f"""
 SELECT question_id, tool, household_key, CAMPAIGN,
        CASE tool WHEN 'rank_customers' THEN CASE WHEN {_starts(*words.LONG_HORIZON)} THEN 'modeled_24_month_clv'
                                                  ELSE 'modeled_12_month_clv' END
@@ -913,10 +922,63 @@ SELECT question_id, tool, household_key, CAMPAIGN,
        CASE tool WHEN 'rank_customers' THEN greatest(1, least(asked, 100))
                  WHEN 'rank_campaigns' THEN greatest(1, least(asked, 30)) END AS row_limit,
        CASE WHEN tool IS NULL THEN 'no_tool'
+            WHEN has_household AND household_key IS NULL OR has_campaign AND CAMPAIGN IS NULL
+              THEN 'unknown_identifier'
             WHEN tool = 'rank_customers' AND asked NOT BETWEEN 1 AND 100 THEN 'limit_clamped'
             WHEN tool = 'rank_campaigns' AND asked NOT BETWEEN 1 AND 30 THEN 'limit_clamped'
             ELSE 'routed' END AS status
 FROM routed""")
+oracle("tagged_questions", "SELECT * FROM tagged")
+step("best_offers", """
+SELECT household_key, CAMPAIGN, row_number() OVER (PARTITION BY household_key ORDER BY
+         modeled_expected_offer_value DESC, CAMPAIGN) AS in_household,
+       row_number() OVER (PARTITION BY CAMPAIGN ORDER BY
+         modeled_expected_offer_value DESC, household_key) AS in_campaign,
+       row_number() OVER (ORDER BY modeled_expected_offer_value DESC, household_key, CAMPAIGN) AS in_all
+FROM offers""")
+step("best_customers", """
+SELECT 'modeled_12_month_clv' AS metric, household_key,
+       row_number() OVER (ORDER BY modeled_12_month_clv DESC, household_key) AS place FROM economics
+UNION ALL SELECT 'modeled_24_month_clv', household_key,
+       row_number() OVER (ORDER BY modeled_24_month_clv DESC, household_key) FROM economics""")
+step("best_campaigns", """
+SELECT CAMPAIGN, row_number() OVER (ORDER BY descriptive_redemption_rate DESC, CAMPAIGN) AS place
+FROM campaign_features
+WHERE descriptive_redemption_rate IS NOT NULL
+  AND END_DAY <= (SELECT max("DAY") FROM coupon_redempt)""")
+step("answers", """
+SELECT question_id, 1 AS place, c.household_key, NULL AS CAMPAIGN FROM tagged t
+JOIN customer_features c ON c.household_key = t.household_key WHERE tool = 'customer_lookup'
+UNION ALL SELECT question_id, 1, NULL, c.CAMPAIGN FROM tagged t
+JOIN campaign_features c ON c.CAMPAIGN = t.CAMPAIGN WHERE tool = 'campaign_lookup'
+UNION ALL SELECT question_id, in_household, o.household_key, o.CAMPAIGN FROM tagged t
+JOIN best_offers o ON o.household_key = t.household_key AND (t.CAMPAIGN IS NULL OR t.CAMPAIGN = o.CAMPAIGN)
+WHERE tool = 'offer_economics_lookup' AND (in_household <= 20 OR t.CAMPAIGN IS NOT NULL)
+UNION ALL SELECT question_id, in_campaign, o.household_key, o.CAMPAIGN FROM tagged t
+JOIN best_offers o ON o.CAMPAIGN = t.CAMPAIGN
+WHERE tool = 'offer_economics_lookup' AND t.household_key IS NULL AND in_campaign <= 20
+UNION ALL SELECT question_id, in_all, o.household_key, o.CAMPAIGN FROM tagged t
+JOIN best_offers o ON in_all <= 20
+WHERE tool = 'offer_economics_lookup' AND t.household_key IS NULL AND t.CAMPAIGN IS NULL
+UNION ALL SELECT question_id, place, b.household_key, NULL FROM tagged t
+JOIN best_customers b ON b.metric = t.metric AND place <= row_limit WHERE tool = 'rank_customers'
+UNION ALL SELECT question_id, place, NULL, b.CAMPAIGN FROM tagged t
+JOIN best_campaigns b ON place <= row_limit WHERE tool = 'rank_campaigns'
+UNION ALL SELECT question_id, place, NULL, NULL FROM tagged,
+  (SELECT unnest(generate_series(1, %d)) AS place) WHERE tool = 'clv_assumptions'
+UNION ALL SELECT question_id, row_number() OVER (PARTITION BY question_id), NULL, NULL FROM tagged,
+  (SELECT score_kind FROM model_report WHERE data_split = 'test'
+   UNION ALL SELECT score_kind FROM base_report WHERE data_split = 'test')
+WHERE tool = 'model_metrics'""" % (len(FinanceAssumptions.__dataclass_fields__) + 2))
+oracle("answered_questions", """
+SELECT t.question_id, t.tool,
+       CASE WHEN t.tool IS NOT NULL AND a.n IS NULL THEN 'unavailable' ELSE t.status END AS status,
+       coalesce(a.n, 0) AS rows, CAST(a.household AS BIGINT) AS first_household,
+       CAST(a.campaign AS BIGINT) AS first_campaign
+FROM tagged t LEFT JOIN (
+  SELECT question_id, count(*) AS n, arg_min(household_key, place) AS household,
+         arg_min(CAMPAIGN, place) AS campaign
+  FROM answers GROUP BY question_id) a USING (question_id)""")
 
 # Text
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from basketlens.functions.days import in_feature_window, in_outcome_window
 from basketlens.functions.finance import monthly_rate, npv_of_array, npv_sum
@@ -414,8 +414,8 @@ REPORT_DOUBLES = (
     "brier_score", "log_loss", "expected_calibration_error")
 
 
-def _report(df: DataFrame) -> DataFrame:
-    return rounded(df.select("data_split", "score_kind", "observations", *REPORT_DOUBLES),
+def _report(df: DataFrame, *further: str) -> DataFrame:
+    return rounded(df.select("data_split", "score_kind", "observations", *REPORT_DOUBLES, *further),
                    *REPORT_DOUBLES)
 
 
@@ -640,7 +640,9 @@ def rank_campaigns(a: RetailAnalysis) -> DataFrame:
 
 @query
 def model_metrics(a: RetailAnalysis) -> DataFrame:
-    return _report(lookups.model_metrics(a.model_report, a.baseline_report, "test"))
+    found = [lookups.model_metrics(a.model_report, a.baseline_report, a.calibrator, split)
+             for split in ("train", "validation", "test")]
+    return _report(reduce(DataFrame.unionByName, found), "calibration_method", "calibration_split")
 
 
 @query
@@ -686,6 +688,37 @@ def tagged_questions(a: RetailAnalysis) -> DataFrame:
     return routing.tag_questions(question_table(a.tables)).drop("question")
 
 
+@query
+def answered_questions(a: RetailAnalysis) -> DataFrame:
+    """How many rows answer each question, and the key of the first."""
+    spark = a.tables.spark
+
+    def placed(df: DataFrame, metric: str, key: str) -> DataFrame:
+        order = Window.partitionBy("metric").orderBy(F.desc(metric), key)
+        return df.withColumn("metric", F.lit(metric)).withColumn(
+            "place", F.row_number().over(order))
+
+    ranked = [placed(lookups.rank_customers(a.economics, 100, m), m, "household_key")
+              for m in lookups.CLV_METRICS]
+    tables = {
+        "customer_lookup": lookups.customer_lookup(a.customers, a.customers, a.economics, a.offers),
+        "campaign_lookup": lookups.campaign_lookup(a.campaigns, a.campaigns),
+        "offer_economics_lookup": a.offers.select(*lookups.OFFER_FIELDS),
+        "rank_customers": reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), ranked),
+        "rank_campaigns": placed(lookups.rank_campaigns(a.campaigns, a.tables.redemptions, 30),
+                                 "descriptive_redemption_rate", "CAMPAIGN"),
+        "clv_assumptions": money.assumptions_table(spark, a.finance),
+        "model_metrics": lookups.model_metrics(a.model_report, a.baseline_report, a.calibrator)}
+    answered = routing.answer_questions(
+        routing.tag_questions(question_table(a.tables)), tables)
+    first = F.get("answer", F.lit(0))
+    return answered.select(
+        "question_id", "tool", "status",
+        F.coalesce(F.size("answer"), F.lit(0)).cast("bigint").alias("rows"),
+        F.get_json_object(first, "$.household_key").cast("bigint").alias("first_household"),
+        F.get_json_object(first, "$.CAMPAIGN").cast("bigint").alias("first_campaign"))
+
+
 # Text
 
 @query

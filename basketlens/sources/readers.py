@@ -85,11 +85,7 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
+def literal_rows(spark: SparkSession, rows: Sequence[tuple],
+                 schema: StructType | str) -> DataFrame:
     """A small dimension from parameters, with its schema stated."""
     return spark.createDataFrame(list(rows), schema)
-
-
-def max_value(df: DataFrame, column: str) -> DataFrame:
-    """One row with the largest observed value, null for an empty table."""
-    return df.agg(F.max(column).alias(column))
