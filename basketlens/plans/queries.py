@@ -728,17 +728,18 @@ def tokenized_documents(a: RetailAnalysis) -> DataFrame:
 
 @query
 def collection_statistics(a: RetailAnalysis) -> DataFrame:
-    return rounded(retrieval.collection_statistics(a.tables.documents), "average_length")
+    return rounded(retrieval.collection_statistics(a.document_index), "average_length")
 
 
 @query
 def term_statistics(a: RetailAnalysis) -> DataFrame:
-    return retrieval.term_statistics(retrieval.postings(a.tables.documents))
+    return retrieval.term_statistics(a.document_index)
 
 
 @query
 def document_search(a: RetailAnalysis) -> DataFrame:
-    return rounded(retrieval.search(a.tables.documents, a.tables.source("benchmark")), "score")
+    return rounded(retrieval.search_index(a.document_index, a.tables.source("benchmark")),
+                   "score")
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketlens.operators import campaigns as campaign_ops
 from basketlens.operators import economics as money
-from basketlens.operators import evaluation, features, quality, response, training
+from basketlens.operators import evaluation, features, quality, response, retrieval, training
 from basketlens.operators.response import Calibrator, FeedForward, Standardizer
 from basketlens.plans.frozen import FROZEN_CALIBRATOR, FROZEN_NETWORK
 from basketlens.settings import FeatureWindows, FinanceAssumptions, SensitivityGrid, SplitPlan
@@ -194,6 +194,11 @@ class StoredAnalysis(RetailAnalysis):
     def baseline_report(self) -> DataFrame:
         return self._kept("baseline-report", super().baseline_report)
 
+    @cached_property
+    def document_index(self) -> DataFrame:
+        """Postings of the text corpus, for any number of searches."""
+        return retrieval.stored_index(self.tables.documents, f"index-{uuid4().hex}")
+
 
 def write_features(analysis: RetailAnalysis, folder: str) -> DataFrame:
     """Write the four feature tables; returns their paths, row counts and schemas."""
