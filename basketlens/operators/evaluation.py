@@ -39,11 +39,10 @@ def score_counts(scored: DataFrame, groups: Sequence[str], score: str = "score",
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
 
 
-def _band(score: Column, cuts: Column) -> Column:
+def _band(score: Column, coarse: Column, cuts: Column) -> Column:
     """How many cut points do not exceed the score, by a coarse and then a fine step."""
     width = math.isqrt(SCORE_BANDS)
-    coarse = F.filter(cuts, lambda cut, i: (i % width == 0) & (cut <= score))
-    passed = F.greatest(F.size(coarse), F.lit(1))
+    passed = F.greatest(F.size(F.filter(coarse, lambda cut: cut <= score)), F.lit(1))
     fine = F.filter(F.slice(cuts, (passed - 1) * width + 1, width), lambda cut: cut <= score)
     return (passed - 1) * width + F.size(fine)
 
@@ -58,9 +57,11 @@ def _ranking(counts: DataFrame, groups: list[str]) -> DataFrame:
     shares = [i / SCORE_BANDS for i in range(1, SCORE_BANDS)]
     cuts = counts.groupBy(*groups).agg(
         F.percentile_approx("score", shares, 20 * SCORE_BANDS).alias("cuts"))
+    width = F.lit(math.isqrt(SCORE_BANDS))
+    cuts = cuts.withColumn("coarse", F.filter("cuts", lambda cut, i: i % width == 0))
     same_group = [F.col(f"c.{g}").eqNullSafe(F.col(f"k.{g}")) for g in groups]
     distinct = counts.alias("c").join(cuts.alias("k"), same_group).select(
-        "c.*", _band(F.col("score"), F.col("cuts")).alias("band"))
+        "c.*", _band(F.col("score"), F.col("coarse"), F.col("cuts")).alias("band"))
     whole = Window.partitionBy(*groups)
     higher = (whole.orderBy(F.desc("band"))
               .rowsBetween(Window.unboundedPreceding, -1))
