@@ -24,7 +24,7 @@ from basketlens.llm.store import stored
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
-BINS = 65_536
+BINS = 4_096
 #: A source may hold most rows; each meets its plan in so many parts.
 SALTS = 64
 #: Sampling weight by quality label; documents without a label take the middle one.
