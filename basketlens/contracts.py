@@ -16,6 +16,7 @@ def _schema(columns: str) -> StructType:
     return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Names and types of the source tables' columns.
 SOURCE_SCHEMAS: dict[str, StructType] = {
     "campaign_desc": _schema("DESCRIPTION string, CAMPAIGN int, START_DAY int, END_DAY int"),
     "campaign_table": _schema("DESCRIPTION string, household_key int, CAMPAIGN int"),
@@ -36,7 +37,7 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
         "COUPON_DISC double, COUPON_MATCH_DISC double"),
 }
 
-# Output tables: key columns and the columns that readers rely on.
+# The output tables' key columns and the columns that readers rely on.
 OUTPUT_KEYS: dict[str, tuple[str, ...]] = {
     "customers": ("household_key",),
     "products": ("PRODUCT_ID",),
@@ -74,6 +75,7 @@ OUTPUT_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 # The model's inputs, in the order of its weights.
+# The response model's inputs, in their order.
 RESPONSE_FEATURES: tuple[str, ...] = (
     "historical_total_sales", "historical_basket_count", "historical_total_quantity",
     "historical_unique_products", "historical_unique_departments", "historical_retail_discount",

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from basketlens.operators.marts import covered_campaigns, offers_per_household
 from basketlens.operators.response import Calibrator
 
+# The columns that lookups return, in their order.
 CLV_METRICS = ("modeled_12_month_clv", "modeled_24_month_clv")
 CAMPAIGN_FIELDS = (
     "CAMPAIGN", "campaign_type", "START_DAY", "END_DAY", "exposed_households",

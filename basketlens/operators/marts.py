@@ -68,7 +68,10 @@ def headline_figures(customers: DataFrame, economics: DataFrame, campaigns: Data
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Counts in equal-width bins between the smallest and the largest value, empty bins too."""
+    """Counts in equal-width bins between the smallest and the largest value, empty bins too.
+
+    A column of one value has one bin.
+    """
     low, high = df.agg(F.min(column)).scalar(), df.agg(F.max(column)).scalar()
     value = F.col(column)
     counts = df.where(value.isNotNull()).groupBy(
@@ -76,7 +79,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     spans = (df.agg(F.min(column).alias("low"), F.max(column).alias("high"))
              .where(F.col("low").isNotNull())
              .select("low", ((F.col("high") - F.col("low")) / bins).alias("width"),
-                     F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")))
+                     F.explode(F.sequence(F.lit(0), F.when(
+                         F.col("high") > F.col("low"), bins - 1).otherwise(0))).alias("bin")))
     return spans.join(counts, "bin", "left").select(
         "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("lower_bound"),
         (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("upper_bound"),
