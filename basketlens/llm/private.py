@@ -6,10 +6,12 @@ trained in numpy on labelled spans, marks further spans: numbers and addresses w
 in other forms than the patterns know.  The labelled spans are base matches, as they are
 and rewritten into such forms, in the text around them.
 
-A span holds a digit or an at sign, so texts and windows without either hold none and are
-not decoded.  Windows of ``WINDOW`` characters overlap by half; a span cut by an
-inner window edge is dropped, as another window holds it whole; of all windows'
-spans, those are kept that overlap no base span and together weigh most without overlap.
+A span holds a mark (a digit, an at sign or "(at)"), so texts without one are not decoded.
+Windows of ``WINDOW`` characters overlap by half and are read where they hold a mark.  What
+the LSTM says of a character is averaged over its windows, and the CRF is decoded once over
+each stretch of windows, so that a span may be longer than a window and lie anywhere.  A
+stretch whose edge a span reaches is read on until none does, or to the ends of the text.
+Spans that overlap no base span are kept.  Memory grows with the longest stretch.
 
 The model is fitted on the driver from at most ``SAMPLE_ROWS`` documents (least hashes of
 the id among documents with a digit or an at sign) and ``TRAIN_WINDOWS`` windows.
@@ -44,6 +46,10 @@ HIDDEN = 12
 BATCH = 64
 EPOCHS = 12
 DECODED_AT_ONCE = 2_048
+#: Characters at a stretch's edge where a tag has the stretch read on; rows and bytes in one call.
+EDGE = 8
+ROWS_AT_ONCE = 2_048
+BYTES_AT_ONCE = 2 << 20
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -52,6 +58,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_WORDED = re.compile(r"\(at\)")
 _ANCHOR = np.zeros(256, bool)
 _ANCHOR[[64, *range(48, 58)]] = True
 
@@ -106,9 +113,9 @@ TAGS = 1 + 2 * len(KINDS)  # 0 outside, then first and further characters of eac
 
 
 def _allowed() -> np.ndarray:
-    """0 where a tag may follow another, very low where not; first row: the text's start."""
+    """0 where a tag may follow another, very low where not; first row: a window's start."""
     moves = np.full((TAGS + 1, TAGS), -1e4)
-    moves[:, 0] = 0
+    moves[:, 0] = moves[0] = 0
     for kind in range(len(KINDS)):
         first = 1 + 2 * kind
         moves[:, first] = 0
@@ -262,10 +269,8 @@ def fit_tagger(codes: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, rate:
     return model
 
 
-def decode(model: Tagger, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best tag sequence of each window, and each tag's marginal probability."""
-    hidden, _, _ = run_lstm(model, codes)
-    scores, moves = emissions(model, hidden), (model.moves + ALLOWED).astype(np.float32)
+def decode(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best tag sequence of each row of emissions, and each tag's marginal probability."""
     alpha, beta, total = forward_backward(scores, moves)
     batch, length, _ = scores.shape
     back = np.empty((length, batch, TAGS), np.int8)
@@ -279,18 +284,30 @@ def decode(model: Tagger, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = np.arange(batch)
     for t in range(length - 1, 0, -1):
         tags[:, t - 1] = back[t, rows, tags[:, t]]
-    own = np.take_along_axis(alpha + beta, tags[:, :, None].astype(np.int64), 2)[:, :, 0]
+    alpha += beta
+    own = np.take_along_axis(alpha, tags[:, :, None].astype(np.int64), 2)[:, :, 0]
     return tags, np.exp(own - total[:, None])
 
 
 # --- windows of whole texts ------------------------------------------------------------
 
-def window_starts(codes: np.ndarray) -> np.ndarray:
-    """Starts of the text's windows that hold a digit or an at sign."""
-    anchors = np.flatnonzero((codes == 1) | (codes == 7 + _MARKS.index("@")))
-    last = max(0, -(-(len(codes) - WINDOW) // STEP))
+def marks_of(text: str, codes: np.ndarray) -> np.ndarray:
+    """Which characters mark a possible span: digits, at signs and those of "(at)"."""
+    marks = (codes == 1) | (codes == 7 + _MARKS.index("@"))
+    for m in _WORDED.finditer(text):
+        marks[m.start():m.end()] = True
+    return marks
+
+
+def last_window(length: int) -> int:
+    return max(0, -(-(length - WINDOW) // STEP))
+
+
+def window_starts(marks: np.ndarray) -> np.ndarray:
+    """Starts of the text's windows that hold a mark."""
+    anchors = np.flatnonzero(marks)
     grid = np.unique(np.concatenate([anchors // STEP, anchors // STEP - 1]))
-    return np.unique(np.clip(grid, 0, last)) * STEP
+    return np.unique(np.clip(grid, 0, last_window(len(marks)))) * STEP
 
 
 def window_codes(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -300,7 +317,7 @@ def window_codes(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def window_spans(tags: np.ndarray, sure: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-    """Runs of tags in decoded windows: window, start, kind, end, least marginal."""
+    """Runs of tags in decoded stretches: stretch, start, kind, end, least marginal."""
     opens = np.argwhere((tags > 0) & (tags % 2 == 1))
     for w, s in opens:
         kind, e = (tags[w, s] - 1) // 2, s + 1
@@ -329,29 +346,85 @@ def reconcile(spans: list[tuple[int, int, int, float]]) -> list[Span]:
     return sorted(chosen)
 
 
+_NEARNESS = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
+
+
+def averaged_emissions(model: Tagger, windows: np.ndarray, at: np.ndarray, odd: np.ndarray,
+                       length: int) -> np.ndarray:
+    """Emissions of ``length`` characters laid end to end, over the windows that start ``at``.
+
+    A window counts more towards its middle; ``odd`` tells overlapping windows apart.
+    """
+    total = np.zeros((length, TAGS), np.float32)
+    weight = np.zeros((length, 1), np.float32)
+    for low in range(0, len(windows), DECODED_AT_ONCE):
+        part = slice(low, low + DECODED_AT_ONCE)
+        found = emissions(model, run_lstm(model, windows[part])[0]) * _NEARNESS
+        for side in (False, True):
+            places = at[part][odd[part] == side][:, None] + np.arange(WINDOW)
+            total[places] += found[odd[part] == side]
+            weight[places] += _NEARNESS
+    return total / weight
+
+
+def _decoded(model: Tagger, codes: list[np.ndarray], starts: dict[int, np.ndarray]
+             ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Text, start, tags and marginals of each stretch of overlapping windows."""
+    owner = np.repeat(list(starts), [len(s) for s in starts.values()])
+    flat = np.concatenate(list(starts.values()))
+    first = np.ones(len(flat), bool)
+    first[1:] = (owner[1:] != owner[:-1]) | (np.diff(flat) != STEP)
+    heads = np.flatnonzero(first)
+    counts = np.diff(np.append(heads, len(flat)))
+    order = np.argsort(counts, kind="stable")  # stretches of a length are decoded together
+    sizes = (counts + 1) * STEP
+    begins = np.empty(len(heads), np.int64)
+    begins[order] = np.cumsum(sizes[order]) - sizes[order]
+    number = np.arange(len(flat)) - np.repeat(heads, counts)
+    windows = np.concatenate([window_codes(codes[n], s) for n, s in starts.items()])
+    scores = averaged_emissions(model, windows, np.repeat(begins, counts) + number * STEP,
+                                number % 2 == 1, int(sizes.sum()))
+    # A span goes on from before a stretch, but not from before the text.
+    whole = begins[flat[heads] == 0]
+    scores[whole[:, None], np.arange(2, TAGS, 2)] -= 1e4
+    moves = (model.moves + ALLOWED).astype(np.float32)
+    low = 0
+    while low < len(order):
+        length = int(sizes[order[low]])
+        high = int(np.searchsorted(sizes[order], length, side="right"))
+        high = min(high, low + max(1, DECODED_AT_ONCE * WINDOW // length))
+        begin = begins[order[low]]
+        tags, sure = decode(scores[begin:begin + (high - low) * length].reshape(-1, length, TAGS), moves)
+        for k, head in enumerate(heads[order[low:high]]):
+            yield int(owner[head]), int(flat[head]), tags[k], sure[k]
+        low = high
+
+
 def model_spans(model: Tagger, texts: list[str], bases: list[list[Span]],
                 confidence: float = CONFIDENCE) -> list[list[Span]]:
     """Per text the spans that the model adds to the base spans."""
     codes = [classes_of(t) for t in texts]
-    starts = [window_starts(c) for c in codes]
-    owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
+    marks = [marks_of(t, c) for t, c in zip(texts, codes)]
+    todo = {n: s for n, m in enumerate(marks) if len(s := window_starts(m))}
     found: list[list] = [[] for _ in texts]
-    for low in range(0, len(owner), DECODED_AT_ONCE):
-        part, parts = owner[low:low + DECODED_AT_ONCE], []
-        first = np.searchsorted(owner, np.arange(len(texts)))
-        for n in np.unique(part):
-            a, b = max(low, first[n]) - first[n], min(low + len(part), first[n] + len(starts[n])) - first[n]
-            parts.append((n, starts[n][a:b]))
-        windows = np.concatenate([window_codes(codes[n], s) for n, s in parts])
-        at = np.concatenate([s for _, s in parts])
-        tags, sure = decode(model, windows)
-        for w, s, kind, e, p in window_spans(tags, sure):
-            n, start = int(part[w]), int(at[w])
-            cut = (s == 0 and start > 0) or (e == WINDOW and start + WINDOW < len(codes[n]))
-            span = codes[n][start + s:start + e]
-            if p >= confidence and not cut and start + e <= len(codes[n]) and (
-                    (span == 1) | (span == 7 + _MARKS.index("@"))).any():
-                found[n].append((start + s, kind, start + e, p))
+    while todo:
+        more: dict[int, list[np.ndarray]] = {}
+        for n in todo:
+            found[n] = []
+        for n, start, tags, sure in _decoded(model, codes, todo):
+            # Read on by as many windows as there are, where a span reaches an inner edge.
+            reach = []
+            if start > 0 and tags[:EDGE].any():
+                reach.append(np.arange(max(0, start - len(tags)), start, STEP))
+            if start + len(tags) < len(codes[n]) and tags[-EDGE:].any():
+                stop = min(start + 2 * len(tags), last_window(len(codes[n])) * STEP + STEP)
+                reach.append(np.arange(start + len(tags) - STEP, stop, STEP))
+            if reach:
+                more.setdefault(n, []).extend(reach)
+            for _, s, kind, e, p in window_spans(tags[None], sure[None]):
+                if p >= confidence and start + e <= len(codes[n]) and marks[n][start + s:start + e].any():
+                    found[n].append((start + s, kind, start + e, p))
+        todo = {n: np.unique(np.concatenate([todo[n], *reach])) for n, reach in more.items()}
     return [reconcile([s for s in own if not any(s[0] < b[2] and b[0] < s[2] for b in base)])
             if own else [] for own, base in zip(found, bases)]
 
@@ -364,7 +437,7 @@ def _rewritten(rng: np.random.Generator, kind: int, span: str) -> str:
         return span
     digits = "".join(_DIGIT.findall(span))
     if kind == 0:
-        return span.replace("@", [" @ ", "[@]", "(@)", " (at) "][rng.integers(3)], 1)
+        return span.replace("@", [" @ ", "[@]", "(@)", " (at) "][rng.integers(4)], 1)
     if kind == 1:
         return span.replace(".", [" . ", "[.]", "(.)"][rng.integers(3)])
     if kind == 2:
@@ -381,29 +454,27 @@ def labelled_windows(texts: list[str], count: int = TRAIN_WINDOWS, seed: int = 1
     for text in texts:
         pieces, marks, at, last_end = [], [], 0, 0
         for start, kind, end in base_spans(text):
-            if start < last_end or end - start > STEP:
+            if start < last_end:
                 continue
             fresh = _rewritten(rng, kind, text[start:end])
             pieces += [text[last_end:start], fresh]
             at += start - last_end
             marks.append((at, kind, at + len(fresh)))
             at, last_end = at + len(fresh), end
-        codes = classes_of("".join(pieces) + text[last_end:])
+        changed = "".join(pieces) + text[last_end:]
+        codes = classes_of(changed)
         tags = np.zeros(len(codes) + WINDOW, np.int64)
         for start, kind, end in marks:
             tags[start:end] = 2 + 2 * kind
             tags[start] = 1 + 2 * kind
-        starts = window_starts(codes)
+        held = marks_of(changed, codes)
+        held |= tags[:len(codes)] > 0
+        starts = window_starts(held)
         if len(starts) > 12:
             starts = rng.choice(starts, 12, replace=False)
         for s, one in zip(starts, window_codes(codes, starts)):
-            own = tags[s:s + WINDOW]
-            if own[0] > 0 and own[0] % 2 == 0:  # a span cut at the window's start
-                cut = np.argmax((own == 0) | (own % 2 == 1)) or WINDOW
-                own = own.copy()
-                own[:cut] = 0
             windows.append(one)
-            tagged.append(own)
+            tagged.append(tags[s:s + WINDOW])
     if not windows:
         return np.zeros((0, WINDOW), np.uint8), np.zeros((0, WINDOW), np.int64)
     some = rng.permutation(len(windows))[:count]
@@ -422,14 +493,23 @@ def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Tagger | None
 # --- over tables -----------------------------------------------------------------------
 
 def _found(column: pa.Array, model: Tagger | None) -> Iterator[tuple[int, str, list[Span], list[Span]]]:
-    """Row, text, base spans and added spans of the rows that hold a digit or an at sign."""
+    """Row, text, base spans and added spans of the rows that hold a mark."""
     if not len(column):
         return
     data, bounds = utf8(column)
-    marks = np.flatnonzero(_ANCHOR[data[bounds[0]:bounds[-1]]]) + bounds[0]
-    rows = np.unique(np.searchsorted(bounds, marks, side="right") - 1)
-    for low in range(0, len(rows), 256):
-        part = rows[low:low + 256]
+    data = data[:bounds[-1]]
+    marks = np.flatnonzero(_ANCHOR[data[bounds[0]:]]) + bounds[0]
+    opens = np.flatnonzero(data[bounds[0]:len(data) - 3] == ord("(")) + bounds[0]
+    for place, sign in enumerate(b"at)", 1):
+        opens = opens[data[opens + place] == sign]
+    rows = np.unique(np.searchsorted(bounds, np.concatenate([marks, opens]), side="right") - 1)
+    sizes = np.cumsum(bounds[rows + 1] - bounds[rows])
+    low = 0
+    while low < len(rows):
+        before = sizes[low - 1] if low else 0
+        high = int(np.searchsorted(sizes, before + BYTES_AT_ONCE, side="right"))
+        high = max(low + 1, min(high, low + ROWS_AT_ONCE))
+        part, low = rows[low:high], high
         texts = [column[int(r)].as_py() for r in part]
         bases = [base_spans(t) for t in texts]
         added = model_spans(model, texts, bases) if model else [[] for _ in texts]

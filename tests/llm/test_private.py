@@ -5,6 +5,7 @@ import re
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -125,6 +126,31 @@ def test_model_finds_held_out_spans_and_other_forms(model, texts, sentence):
     assert sum(map(len, private.model_spans(model, clean, [[]] * 50))) <= 1
 
 
+@pytest.mark.parametrize("address", [
+    "first.last(@)dept.of.physics.example.com",
+    "first.last (at) dept.of.physics.example.com",
+    "first.middle.last(@)group.of.particles.dept.of.physics.university.example.com"])
+def test_long_addresses_are_found_wherever_they_start(model, sentence, address):
+    rng = random.Random(21)
+    before, after = sentence(rng, 60), sentence(rng, 40)
+    texts = [f"{before[:shift]} {address} {after}" for shift in range(100, 164)]
+    found = private.model_spans(model, texts, [[]] * 64, 0.8)
+    whole = sum((t.index(address), 0, t.index(address) + len(address)) in s for t, s in zip(texts, found))
+    assert whole >= 58
+
+
+def test_rows_with_at_in_words_are_read(model):
+    column = pa.array(["none", "a (at) b", None, "(a t)", "at", "8"])
+    assert [r[0] for r in private._found(column, model)] == [1, 5]
+
+
+def test_long_base_spans_are_taught_whole():
+    address = "someone.with.a.long.name@dept.of.physics.university.example.com"
+    codes, tags = private.labelled_windows([f"write to {address} now"] * 40)
+    assert {1, 2} <= set(tags.ravel()) and (tags > 0).sum(axis=1).max() > private.STEP
+    assert len({t.tobytes() for t in tags}) > 3  # rewritten forms differ in length
+
+
 def test_table_of_spans(documents, model, texts):
     rows = list(enumerate([*texts[:60], None, "", *CASES])) + [(0, texts[0]), (None, CASES[2])]
     out = private.personal_data(documents([(*r, 1) for r in rows], ", n_email int"), model).collect()
