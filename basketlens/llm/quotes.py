@@ -1,30 +1,37 @@
 """Chat formatting by quotation linking.
 
-Messages quote earlier ones with leading ``>`` marks, nested to any depth.  Lines of one
-level next to one another are a passage.  Passages are normalised (marks off, white space
-collapsed, lower case) and hashed; the messages' own passages, whole and line by line, are
-indexed by hash with the earliest message of the scope that holds them.  A message replies
-to the message that holds its outermost quoted passage; if no message holds it whole, to
-that of its longest known line.  Replies are ordered by thread and depth, and the quoted
-lines are taken out of the text.
-
-The index keeps one row per scope and hash (a map-side combined minimum), so a passage that
-very many messages share or quote is joined to one row, never to all its holders.  Depths
+Messages quote earlier ones with leading ``>`` marks, nested to any depth.  Quoted lines next
+to one another are a passage.  Every level of every passage is normalised (marks off, white
+space collapsed, lower case), hashed and asked for; the messages' own passages, whole and line
+by line, are the index.  A message replies to the holder of the outermost level of its first
+passage, else of its next passages, else of deeper levels; at each, to that of the whole or
+else of the longest known line.  Of several holders, one that itself quotes what the message
+quotes one level deeper is meant, and of those the last before the message; where no holder
+agrees or nothing deeper is quoted, the earliest.  Replies are ordered by thread and depth,
+and the quoted lines are taken out of the text.
+
+The index keeps, of asked hashes, one row per scope and hash (a map-side combined minimum)
+and the agreeing holders; the last of those before a message is found in ranges of turns, so
+a passage that very many messages share or quote never meets all its holders.  Depths
 come from pointer doubling, in as many rounds as the logarithm of the longest thread.
 
 Defined results: a null text has no lines and no quotes; a message without a link, or
 whose quote is only found in itself or later, is a root of depth 0; blank passages
-are not indexed; rows of one scope and turn are one message, that of the least text (nulls
+are not indexed, and one of blank outermost level asks nothing; rows of one scope and turn are one message, that of the least text (nulls
 first); a null scope or turn makes a root of its own; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.store import stored
 
+#: Turns of one range, in which holders and asking messages are put in order.
+RANGE = 1_024
 MARKS = r"^(?:>[\x20\x09]?)+"
 
 
@@ -51,14 +58,46 @@ def _own_text(lines: Column) -> Column:
     return F.regexp_replace(own, r"^\n+|\n+$", "")
 
 
-def _first_quote(lines: Column) -> Column:
-    """The lines of level 1 of the first quoted passage; deeper ones inside belong to others."""
-    start = F.array_position(F.transform(lines, lambda x: x["level"] > 0), True)
-    rest = F.when(start > 0, F.slice(lines, start.cast("int"), F.size(lines))).otherwise(F.slice(lines, 1, 0))
-    stop = F.array_position(F.transform(rest, lambda x: x["level"] == 0), True)
-    passage = F.when(stop > 0, F.slice(rest, 1, (stop - 1).cast("int"))).otherwise(rest)
-    least = F.array_min(F.transform(passage, lambda x: x["level"]))
-    return F.filter(passage, lambda x: x["level"] == least)
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _levels(passage: Column) -> Column:
+    """Per level of a passage, outermost first, its lines without marks."""
+    return F.transform(F.array_sort(F.array_distinct(F.transform(passage, lambda x: x["level"]))),
+                       lambda level: F.transform(F.filter(passage, lambda x: x["level"] == level),
+                                                 lambda x: x["line"]))
+
+
+def _passages(lines: Column) -> Column:
+    """The levels of every passage that quotes something on its outermost level."""
+    def between(lines: Column) -> Column:
+        plain = F.filter(F.transform(lines, lambda x, i: F.when(x["level"] == 0, i + 1)),
+                         lambda x: x.isNotNull())
+        return F.filter(F.zip_with(
+            F.concat(F.array(F.lit(0)), plain), F.concat(plain, F.array(F.size(lines) + 1)),
+            lambda a, b: F.slice(lines, a + 1, b - a - 1)), lambda x: F.size(x) > 0)
+    return F.filter(F.transform(_let(lines, between), _levels),
+                    lambda x: normalised(F.array_join(x[0], "\n")) != "")
+
+
+def _latest(asked: DataFrame, holders: DataFrame, key: list[str]) -> DataFrame:
+    """The last holder of the key before each turn that asks, by ranges of turns."""
+    both = (asked.select(*key, "turn", F.lit(0).alias("holds")).distinct()
+            .unionByName(holders.select(*key, "turn", F.lit(1).alias("holds")).distinct())
+            .withColumn("range", F.floor(F.col("turn") / RANGE)))
+    held = F.when(F.col("holds") == 1, F.col("turn"))
+    up_to = Window.unboundedPreceding
+    ranges = (both.groupBy(*key, "range").agg(F.max(held).alias("last"))
+              .withColumn("before", F.max("last").over(
+                  Window.partitionBy(*key).orderBy("range").rowsBetween(up_to, -1))))
+    # A turn that asks comes before itself as a holder.
+    inside = both.withColumn("inside", F.max(held).over(
+        Window.partitionBy(*key, "range").orderBy("turn", "holds").rowsBetween(up_to, 0)))
+    return (inside.where("holds = 0").join(ranges, [*key, "range"])
+            .select(*key, "turn", F.coalesce("inside", "before").alias("latest"))
+            .where("latest IS NOT NULL"))
 
 
 def link(messages: DataFrame) -> DataFrame:
@@ -70,25 +109,38 @@ def link(messages: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("text").isNotNull(), F.col("text"))).getField("text").alias("text"))
     split = stored(parsed_lines(single).select(
         "scope", "turn", _own_text(F.col("lines")).alias("body"),
-        F.transform(_first_quote(F.col("lines")), lambda x: x["line"]).alias("quoted")))
+        _passages(F.col("lines")).alias("quoted")))
+    hashed = lambda lines: F.md5(normalised(F.array_join(lines, "\n")))
+    levels = (split.where("scope IS NOT NULL AND turn IS NOT NULL")
+              .select("scope", "turn", F.posexplode("quoted").alias("passage", "levels"))
+              .select("scope", "turn", "passage", F.posexplode(F.transform(
+                  "levels", lambda x, i: F.struct(x.alias("lines"), hashed(
+                      F.get("levels", i + 1)).alias("context")))).alias("level", "q")))
+    asked = stored(levels.select("scope", "turn", "passage", "level", "q.context", F.explode(F.array_distinct(
+        F.concat(F.array(F.struct(F.lit(1).alias("whole"),
+                                  normalised(F.array_join("q.lines", "\n")).alias("text"))),
+                 F.transform("q.lines", lambda x: F.struct(F.lit(0).alias("whole"),
+                                                           normalised(x).alias("text")))))).alias("a"))
+        .where("a.text <> ''")
+        .select("scope", "turn", "context", F.struct(
+            (-F.col("level")).alias("level"), (-F.col("passage")).alias("passage"), "a.whole",
+            F.length("a.text").alias("size")).alias("place"), F.md5("a.text").alias("hash")))
     # Whole passages and lines share one index; md5 of the normalised text is the key.
     own = split.select("scope", "turn", F.explode(F.array_distinct(F.concat(
         F.array(normalised(F.col("body"))),
-        F.transform(F.split("body", "\n"), normalised)))).alias("passage"))
-    index = (own.where("passage <> ''").groupBy("scope", F.md5("passage").alias("hash"))
-             .agg(F.min("turn").alias("holder")))
-    asked = (split.where(F.size("quoted") > 0).select(
-        "scope", "turn", F.explode(F.array_distinct(F.concat(
-            F.array(F.struct(F.lit(1).alias("whole"),
-                             normalised(F.array_join("quoted", "\n")).alias("passage"))),
-            F.transform("quoted", lambda x: F.struct(F.lit(0).alias("whole"),
-                                                     normalised(x).alias("passage")))))).alias("q"))
-        .where("q.passage <> ''")
-        .select("scope", "turn", "q.whole", F.length("q.passage").alias("size"),
-                F.md5("q.passage").alias("hash")))
+        F.transform(F.split("body", "\n"), normalised)))).alias("passage"), F.array_distinct(
+            F.transform("quoted", lambda x: hashed(x[0]))).alias("contexts"))
+    held = (own.where("passage <> ''").select("scope", F.md5("passage").alias("hash"), "turn", "contexts")
+            .join(asked.select("scope", "hash").distinct(), ["scope", "hash"], "left_semi"))
+    key = ["scope", "hash", "context"]
+    latest = _latest(asked.where("context IS NOT NULL"),
+                     held.select("scope", "hash", "turn", F.explode("contexts").alias("context")), key)
+    index = held.groupBy("scope", "hash").agg(F.min("turn").alias("holder"))
     found = (asked.join(index, ["scope", "hash"]).where("holder < turn")
+             .join(latest, [*key, "turn"], "left")
              .groupBy("scope", "turn")
-             .agg(F.max(F.struct("whole", "size", (-F.col("holder")).alias("earliest"))).alias("best")))
+             .agg(F.max(F.struct("place", F.col("latest").isNotNull().alias("agrees"),
+                                 (-F.coalesce("latest", "holder")).alias("earliest"))).alias("best")))
     return (split.join(found.select("scope", "turn", (-F.col("best.earliest")).alias("parent")),
                        ["scope", "turn"], "left")
             .select("scope", "turn", "body", "parent"))

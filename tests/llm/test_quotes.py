@@ -33,6 +33,23 @@ def test_shared_passages_link_to_the_earliest_and_never_forward(spark):
     assert [out[1, t][0] for t in range(1, 6)] == [None, None, None, 2, 1]
 
 
+def test_repeated_turns_link_to_the_holder_that_quotes_the_same(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "RANGE", 3)
+    texts = ["shall we?", "ok", "and then?", "ok", "thanks", "ok", "thanks", "ok", "bye"]
+    turns = spark.createDataFrame([(7, t, x) for t, x in enumerate(texts)],
+                                  "conv_id long, turn long, text string")
+    out = {r.turn: (r.parent, r.root, r.depth) for r in quotes.conversations(quotes.as_mail(turns)).collect()}
+    assert out == {t: (t - 1 if t else None, 0, t) for t in range(len(texts))}
+
+
+def test_later_passages_and_deeper_levels_are_asked(spark):
+    out = run(spark, [(1, 1, "noon"), (1, 2, "one"), (1, 3, "> nobody said so\nwhat\n> one\nyes"),
+                      (1, 4, ">> noon\n> nobody said so\nlost between"),
+                      (1, 5, ">> one\n> unknown\nx\n> noon\ndirect before deeper"),
+                      (1, 6, ">> one\n>\nblank outside")])
+    assert [out[1, t][0] for t in range(1, 7)] == [None, None, 2, 1, 1, None]
+
+
 def test_long_threads(spark):
     rows = [(1, 0, "text 0")] + [(1, t, f"> text {t - 1}\ntext {t}") for t in range(1, 70)]
     out = run(spark, rows)
