@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.components import components
@@ -177,6 +177,12 @@ def _verify(table: pa.Table, similarity: float) -> pa.Table:
                                 schema=_VERIFIED)
 
 
+def _node() -> Column:
+    """Key of a document: its id and a hash of its text."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                       F.hex(F.xxhash64("text")))
+
+
 def near_classes(documents: DataFrame, similarity: float = SIMILARITY,
                  recall: float = TARGET_RECALL) -> DataFrame:
     """One row per document: its class, its group of equal texts and its number of links.
@@ -185,10 +191,14 @@ def near_classes(documents: DataFrame, similarity: float = SIMILARITY,
     (least doc_id of the documents with the same shingles) and n_links (documents at or
     above ``similarity``, copies counted).
     """
+    return _classed(documents, similarity, recall).drop("node", "component")
+
+
+def _classed(documents: DataFrame, similarity: float, recall: float = TARGET_RECALL) -> DataFrame:
+    """``near_classes`` with the key of the document and the least key of its class's sets."""
     length = prefix_length(TREES, DEPTH, similarity, recall)
     keyed = documents.select(
-        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                    F.hex(F.xxhash64("text"))).alias("node"),
+        _node().alias("node"),
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(keyed.mapInArrow(
         lambda batches: _sign(batches, length),
@@ -230,25 +240,23 @@ def near_classes(documents: DataFrame, similarity: float = SIMILARITY,
               .withColumn("component", F.coalesce("component", "node")))
     least = of_set.groupBy("component").agg(F.min("copy_id").alias("class_id"))
     of_set = of_set.join(least, "component").select(
-        "set_one", "set_two", "class_id", "copy_id",
+        "set_one", "set_two", "component", "class_id", "copy_id",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    named = worded.select("doc_id", "set_one", "set_two").join(of_set, ["set_one", "set_two"])
+    named = worded.select("node", "doc_id", "set_one", "set_two").join(of_set, ["set_one", "set_two"])
     alone = signed.where(F.size("keys") == 0).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
+        "node", F.col("node").alias("component"), "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
         F.lit(0).cast("long").alias("n_links"))
-    return named.select("doc_id", "class_id", "copy_id", "n_links").unionByName(alone)
+    return named.select("node", "component", "doc_id", "class_id", "copy_id", "n_links").unionByName(alone)
 
 
 def one_of_each(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``documents`` with one row of each class: that of the least doc_id.
+    """``documents`` with one row of each class: that of the least doc_id, nulls last.
 
-    Rows that share that doc_id and differ in text all stay; equal rows become one; rows
-    without a doc_id stay.
+    Of several texts under that doc_id, or without any, the least key decides; equal rows
+    become one.
     """
-    kept = (near_classes(documents, similarity)
-            .where(F.col("doc_id") == F.col("class_id"))
-            .select(F.col("doc_id").alias("kept_id")).distinct())
-    named = documents.where(F.col("doc_id").isNotNull())
-    return (named.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-            .dropDuplicates(["doc_id", "text"])
-            .unionByName(documents.where(F.col("doc_id").isNull())))
+    kept = (_classed(documents, similarity).groupBy("component")
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("least"))
+            .select(F.col("least.node").alias("kept_node")))
+    return (documents.join(kept, _node() == F.col("kept_node"), "left_semi")
+            .dropDuplicates(["doc_id", "text"]))

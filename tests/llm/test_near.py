@@ -78,6 +78,28 @@ def test_one_of_each_keeps_the_least_id_and_all_columns(documents, rows):
         {c for _, c, _ in plain_classes(rows, 0.8)})
 
 
+def test_one_of_each_decides_by_row(documents):
+    text = " ".join(f"word{i}" for i in range(80))
+    near_text, other = text + " more", " ".join(f"other{i}" for i in range(80))
+    frame = documents([(None, text), (None, text), (None, near_text),  # copies without ids
+                       (None, "alone one two three four five"),
+                       (5, other), (5, other + " x"), (5, "x y z u v w"),  # one id under several texts
+                       (1, "a b c d e f g"), (7, "a b c d e f g"), (7, "s t u v w x y")])
+    kept = [(r.doc_id, r.text) for r in near.one_of_each(frame).collect()]
+    assert sum(i is None and t.startswith("word0") for i, t in kept) == 1
+    assert sum(t.startswith("other0") for _, t in kept) == 1
+    assert sorted(x for x in kept if len(x[1]) < 20) == [
+        (1, "a b c d e f g"), (5, "x y z u v w"), (7, "s t u v w x y")]
+    assert len(kept) == 6  # with the lone text
+
+
+def test_a_near_copy_goes_though_its_id_stays_for_another_text(documents):
+    text = " ".join(f"word{i}" for i in range(80))
+    frame = documents([(1, text), (5, text + " more"), (5, "x y z u v w")])
+    assert sorted((r.doc_id, r.text) for r in near.one_of_each(frame).collect()) == [
+        (1, text), (5, "x y z u v w")]
+
+
 def test_prefix_shortens_until_the_recall_is_met():
     assert near.prefix_length(32, 8, 0.8, 0.9999) == 6
     assert near.prefix_length(32, 8, 0.8, 0.5) == 8
