@@ -45,6 +45,12 @@ def hashed_sample(frame: DataFrame, rows: int, key: str = "doc_id") -> DataFrame
     return frame.orderBy(F.xxhash64(key), key).limit(rows)
 
 
+def one_text_each(frame: DataFrame) -> DataFrame:
+    """(doc_id, text) with the text of least hash of each id, combined on the map side."""
+    return (frame.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("least"))
+            .select("doc_id", F.col("least.text").alias("text")))
+
+
 def shipped(spark: SparkSession) -> SparkSession:
     """The session, with this package's modules sent to its Python workers once."""
     context = spark.sparkContext

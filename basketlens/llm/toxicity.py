@@ -6,7 +6,7 @@ chain give.  In training those log-odds are out-of-fold predictions, so that a l
 meets earlier outputs as wrong as they will be on new texts; equal texts share a fold.
 
 The models are fitted on the driver from at most ``SAMPLE_ROWS`` labelled rows (least
-hashes of the id).  Every text is then scored where it is read, without a shuffle.
+hashes of the id, one text of each id).  Every text is then scored where it is read, without a shuffle.
 
 Defined results: null, empty and wordless texts are scored from the intercepts; rows with
 a null label are not learned from; repeated labels of an id count with their highest
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.store import hashed_sample
+from basketlens.llm.store import hashed_sample, one_text_each
 from basketlens.llm.words import ALPHANUMERIC, slices, word_hashes
 
 SAMPLE_ROWS = 16_000
@@ -151,7 +151,8 @@ def train(documents: DataFrame, labels: DataFrame,
     marks = hashed_sample(marks, sample_rows)
     names = [name for name, _ in categories]
     sample = (documents.select("doc_id", F.col("text").cast("string").alias("text"))
-              .join(F.broadcast(marks), "doc_id")  # at most sample_rows rows of three numbers
+              .join(F.broadcast(marks.select("doc_id")), "doc_id"))  # at most sample_rows numbers
+    sample = (one_text_each(sample).join(F.broadcast(marks), "doc_id")
               .select(F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
                       *[F.expr(rule).cast("int").alias(name) for name, rule in categories], "text"))
     keep = len(names) + 1

@@ -87,6 +87,17 @@ def test_quality_without_both_labels(spark, tables):
         assert score == pytest.approx(share, abs=1e-3)
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark, tables, monkeypatch):
+    docs, labels = tables
+    docs = docs.unionByName(spark.range(400).selectExpr(
+        "3L AS doc_id", "concat('text ', id) AS text", "'s' AS p_toxic"))
+    assert quality.sample_of(docs, labels).count() == 600
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_chain", lambda names, y, *rest: seen.append(len(y)))
+    toxicity.train(docs, labels)
+    assert seen == [600]
+
+
 def test_pair_fit_orders_by_preference():
     rng = np.random.default_rng(0)
     differences = rng.normal(size=(2000, 3)) + [1, 0, -0.5]
