@@ -1,9 +1,9 @@
-"""N-gram Jaccard join by a MinHash LSH forest, verified exactly.
+"""N-gram Jaccard join by MinHash LSH in bands, verified exactly.
 
 1. Sign.  One pass tokenizes whole texts, takes word shingles, a 128-bit digest of the
-   shingle set and, per tree, the hash of a prefix of its MinHash values.  Prefixes start
-   at the full depth of the tries and shorten level by level until the chance that a pair
-   at the threshold shares a prefix in some tree reaches the target recall.
+   shingle set and, per tree, the hash of a prefix of its MinHash values.  The length
+   is the longest, of at most ``DEPTH``, at which the chance that a pair at the threshold
+   shares a prefix in some tree reaches the target recall; no tries are built.
 2. Group.  Equal sets become one representative with a count, by map-side combining.
    Representatives under the same trie node are tied to the node's least member (a star,
    never all pairs); connected components of the stars are the candidate groups.
