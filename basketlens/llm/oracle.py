@@ -119,5 +119,60 @@ SELECT l.conv_id, l.turn, l.role, l.parent AS parent_turn, r.root AS root_turn,
 FROM linked l JOIN replies r ON l.conv_id = r.conv_id AND l.turn = r.turn
 """
 
+#: The CRC-32 of the decimal id, bit by bit, as DuckDB has no function for it.
+PREFIX_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat(
+           length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, n,
+         xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+           range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+           lambda i: list_prepend(CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT),
+                                  [-1, -1, -1, -1, -1, -1, -1, -1])))),
+           lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step)
+                                  WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384)
+                                  ELSE crc // 2 END), 4294967295) % 4 AS head
+  FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1)),
+rebuilt AS (
+  SELECT c.conv_id, t.pos AS d, t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.head
+  UNION ALL
+  SELECT c.conv_id, least(c.head, coalesce(b.n, 0)) + t.pos - c.head, t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.head
+  LEFT JOIN convs b ON b.conv_id = c.base),
+steps AS (
+  SELECT conv_id, d, role, text,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         list(md5(concat(length(role), ':', role, text))) OVER (
+           PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path
+  FROM rebuilt),
+visits AS (
+  SELECT c.conv_id, 0 AS d, CAST([] AS VARCHAR[]) AS path, 0 AS words,
+         c.conv_id NOT IN (SELECT conv_id FROM rebuilt) AS ends
+  FROM convs c
+  UNION ALL
+  SELECT conv_id, d, path, words, d = max(d) OVER (PARTITION BY conv_id) FROM steps),
+nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+         coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ','
+                             ORDER BY conv_id), '') AS ends
+  FROM visits GROUP BY 1, 2),
+children AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+above AS (
+  SELECT path[1:CAST(up AS BIGINT)] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n_convs - 1) * words) AS saved_tokens
+  FROM counted, unnest(generate_series(0, d)) AS s(up) GROUP BY 1)
+SELECT c.conv_id, CAST(c.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs,
+       CAST(c.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN above a ON a.path = c.path
+LEFT JOIN nodes p ON c.d > 0 AND p.path = c.path[1:c.d - 1]
+"""
+
 ORACLE = {"op4_mixing": MIXING, "op8_decontamination": DECONTAMINATION,
-          "op9_quotation_links": QUOTATION_LINKS}
+          "op9_quotation_links": QUOTATION_LINKS, "op13_prefix_trie": PREFIX_TRIE}

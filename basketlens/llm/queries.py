@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import (
-    decontam, fingerprints, language, lm, mixing, near, private, quality, quotes,
-    toxicity)
+    bpe, decontam, fingerprints, language, lm, mixing, near, private, quality, quotes, runs,
+    toxicity, tries)
 from basketlens.llm.store import shipped
 
 
@@ -88,6 +88,65 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_classes(table(spark, folder, "documents"))
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """Documents (doc_id, text) of which one in ten, by the CRC-32 of its id, was made periodic.
+
+    Of n words, those from a = g % n on become the words a + (i - a) % p with
+    p = 1 + floor((n - a) / (3 + g % 8)), where g is a tenth of the CRC-32.  A text under a null
+    id is left as it is.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(code / 10), F.size(words)
+    planted = documents.select("doc_id", "text", F.when(
+        code % 10 == 0, F.struct(words.alias("words"), (g % F.greatest(n, F.lit(1))).cast("int").alias("a"),
+                                 (3 + g % 8).cast("int").alias("parts"))).alias("plan"))
+    plan = planted["plan"]
+    start, size = plan["a"], F.size(plan["words"])
+    period = 1 + F.floor((size - start) / plan["parts"]).cast("int")
+    rebuilt = F.array_join(F.transform(
+        F.sequence(F.lit(0), size - 1),
+        lambda i: F.get(plan["words"], F.when(i < start, i).otherwise(
+            start + (i - start) % period))), " ")
+    return planted.select("doc_id", F.when(size > 0, rebuilt).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, some made periodic, and the texts without repetitions."""
+    found = runs.periodic_runs(with_planted_periods(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda run: F.struct(
+        run["length"].alias("length"), (-run["start"]).alias("before"),
+        (-run["period"]).alias("shorter"))))
+    listed = F.array_join(F.transform("runs", lambda run: F.concat_ws(
+        ",", *[run[name].cast("string") for name in ("start", "length", "period")])), "\n")
+    length, period = F.col("best")["length"], -F.col("best")["shorter"]
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best")["before"]).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256)
+        .alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_bpe(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    """Byte-level BPE tokens of every document and the text that they stand for."""
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, folder, "documents"), bpe.load(vocabulary), decoded=True)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the trie of conversations that share their first turns in groups of 20."""
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return tries.trie(*tries.with_shared_heads(table(spark, folder, "conversations"), 20, head))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_fingerprints": op2_fingerprints,
@@ -99,4 +158,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quotation_links": op9_quotation_links,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_bpe": op12_bpe,
+    "op13_prefix_trie": op13_prefix_trie,
 }
