@@ -43,9 +43,12 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: Words of a slice that are resolved at once.
 WORDS_AT_ONCE = 300_000
 PIECE_CHARS = 1 << 20
-#: Words whose tokens a worker keeps for later slices; a full store is emptied.
+#: Words and tokens that a worker keeps for later slices; a full store is emptied.
 KEPT_WORDS = 300_000
-KEPT_CHARS = 64
+KEPT_TOKENS = 2_000_000
+#: Words up to this many bytes are covered and merged together, in step.
+SHORT_BYTES = 64
+MERGED_AT_ONCE = 1 << 13
 #: Stands for a character that is neither letter nor digit nor white space.
 _SYMBOL = "\u2190"
 _NEVER = np.int64(1) << np.int64(62)
@@ -178,15 +181,15 @@ class Encoder:
         self.vocabulary = v = vocabulary
         self.numbers = {piece: i for i, piece in enumerate(v.pieces)
                         if piece is not None and v.own[i]}
-        self.bytes = [self.numbers.get(bytes([b]), -1) for b in range(256)]
-        self.merges = dict(zip(v.codes.tolist(), zip(v.ranks.tolist(), v.merged.tolist())))
+        self.letters = np.array([self.numbers.get(bytes([b]), -1) for b in range(256)])
+        self.ranked = dict(zip(v.codes.tolist(), zip(v.ranks.tolist(), v.merged.tolist())))
         longest: dict[bytes, int] = {}
         for piece in self.numbers:
             longest[piece[:2]] = max(longest.get(piece[:2], 0), len(piece))
         self.longest = longest
-        self.kept: dict[str, np.ndarray] = {
-            token: np.array([number], np.int32) for token, number in v.specials.items()}
+        self._grow()
         self.failed = 0
+        self._forget()
         self.words = regex.compile(WORD)
         self.foreign = frozenset(v.foreign)
         self.shadows = dict.fromkeys(map(ord, v.foreign), _SYMBOL)
@@ -194,8 +197,115 @@ class Encoder:
             regex.escape(token) for token in sorted(v.specials, key=len, reverse=True))
         ) if v.specials else None
 
+    def _forget(self) -> None:
+        """Empty the store: word i has ``lengths[i]`` tokens from ``starts[i]`` on."""
+        self.kept = {token: i for i, token in enumerate(self.vocabulary.specials)}
+        self.tokens = np.array(list(self.vocabulary.specials.values()), np.int32)
+        self.lengths = np.ones(len(self.tokens), np.int64)
+
+    def _grow(self) -> None:
+        """A trie of all proposed tokens: per node its token, per inner node its children."""
+        edges: dict[int, int] = {}
+        tokens = [-1]
+        for piece, number in self.numbers.items():
+            node = 0
+            for byte in piece:
+                node = edges.setdefault(node << 8 | byte, len(tokens))
+                if node == len(tokens):
+                    tokens.append(-1)
+            tokens[node] = number
+        keys = np.fromiter(edges, np.int64, len(edges))
+        inner = np.unique(keys >> 8)
+        self.token = np.array(tokens)
+        self.inner = np.full(len(tokens), len(inner))
+        self.inner[inner] = np.arange(len(inner))
+        # One row more, without children, stands for all nodes that end a token.
+        self.children = np.full((len(inner) + 1, 256), -1, np.int32)
+        self.children[self.inner[keys >> 8], keys & 255] = np.fromiter(
+            edges.values(), np.int32, len(edges))
+
+    def covers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The longest tokens of short words from the left, all words in step."""
+        sizes = np.array([len(word) for word in words])
+        ends = np.cumsum(sizes)
+        data = np.append(np.frombuffer(b"".join(words), np.uint8), np.uint8(0))
+        word, at, ends = np.arange(len(words)), ends - sizes, ends
+        end = ends[word]
+        node, best, after = (np.zeros(len(words), np.int64) for _ in range(3))
+        owners, found = [], []
+        while len(word):
+            child = np.where(at < end, self.children[self.inner[node], data[at]], -1)
+            dead = child < 0
+            token = np.where(dead, -1, self.token[child])
+            at = at + 1
+            best, after = np.where(token >= 0, token, best), np.where(token >= 0, at, after)
+            if dead.any():
+                owners.append(word[dead])
+                found.append(best[dead])
+                at, node = np.where(dead, after, at), np.where(dead, 0, child)
+                on = ~dead | (after < end)
+                word, at, end, node, best, after = (
+                    values[on] for values in (word, at, end, node, best, after))
+            else:
+                node = child
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(found)[order], np.bincount(owner, minlength=len(words))
+
+    def merges(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merges of short words: the least, leftmost merge of each word per round."""
+        v, owners, found = self.vocabulary, [], []
+        by_size = np.argsort([len(word) for word in words], kind="stable")
+        made = np.full(int(v.ranks.max(initial=-1)) + 1, -1)
+        made[v.ranks] = v.merged
+        never = len(made)
+        for begin in range(0, len(by_size), MERGED_AT_ONCE):
+            held = by_size[begin:begin + MERGED_AT_ONCE]
+            width = len(words[held[-1]])
+            sizes = np.array([len(words[i]) for i in held])
+            letters = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in held), np.uint8)
+            parts = self.letters[letters].reshape(len(held), width)
+            cols = np.arange(width)
+            parts[cols >= sizes[:, None]] = -1
+
+            def ranked(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+                merge = v.merges_of(left, right)
+                return np.where((merge >= 0) & (left >= 0) & (right >= 0), v.ranks[merge], never)
+
+            ranks = np.full((len(held), width), never)
+            ranks[:, :-1] = ranked(parts[:, :-1].ravel(), parts[:, 1:].ravel()
+                                   ).reshape(len(held), width - 1)
+            rows = np.arange(len(held))
+            while len(rows):
+                place = ranks.argmin(axis=1)
+                least = ranks[np.arange(len(rows)), place]
+                done = least == never
+                if done.any():
+                    owners.append(np.repeat(held[rows[done]], sizes[done]))
+                    found.append(parts[done][cols < sizes[done][:, None]])
+                    rows, sizes, parts, ranks, place, least = (
+                        values[~done] for values in (rows, sizes, parts, ranks, place, least))
+                    if not len(rows):
+                        break
+                own = np.arange(len(rows))
+                for table, last in ((parts, -1), (ranks, never)):
+                    moved = np.concatenate(
+                        [table[:, 1:], np.full((len(rows), 1), last)], axis=1)
+                    np.copyto(table, moved, where=cols > place[:, None])
+                parts[own, place] = made[least]
+                sizes = sizes - 1
+                following = np.minimum(place + 1, width - 1)
+                ranks[own, place] = np.where(
+                    place + 1 < sizes, ranked(made[least], parts[own, following]), never)
+                before = np.flatnonzero(place > 0)
+                ranks[before, place[before] - 1] = ranked(
+                    parts[before, place[before] - 1], made[least[before]])
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(found)[order], np.bincount(owner, minlength=len(words))
+
     def cover(self, word: bytes) -> list[int]:
-        """The longest tokens from the left."""
+        """The longest tokens from the left, of a word of any length."""
         numbers, longest, found, at = self.numbers, self.longest, [], 0
         while at < len(word):
             for end in range(at + min(longest.get(word[at:at + 2], 1), len(word) - at), at, -1):
@@ -208,8 +318,8 @@ class Encoder:
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: lowest rank first, leftmost first."""
-        size, ids, merges = len(word), len(self.vocabulary.pieces), self.merges
-        parts = [self.bytes[b] for b in word]
+        size, ids, merges = len(word), len(self.vocabulary.pieces), self.ranked
+        parts = self.letters[np.frombuffer(word, np.uint8)].tolist()
         before, after = list(range(-1, size - 1)), list(range(1, size + 1))
         heap = []
         for i in range(size - 1):
@@ -232,45 +342,71 @@ class Encoder:
                         heapq.heappush(heap, (found[0], a, parts[a], parts[b], found[1]))
         return [part for part in parts if part >= 0]
 
-    def resolve(self, words: list[str]) -> list[np.ndarray]:
-        """Tokens of distinct words: covers, or exact merges where a border is crossed."""
+    def resolve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of distinct words in order: covers, or exact merges where a border is crossed."""
         held = [word.encode() for word in words]
-        covers = [self.cover(word) for word in held]
-        sizes = np.array([len(cover) for cover in covers])
-        flat = np.array([number for cover in covers for number in cover], np.int64)
-        ends = np.cumsum(sizes)
-        inner = np.ones(max(len(flat) - 1, 0), bool)
+        tokens, lengths = self._by_size(held, np.arange(len(held)), self.covers, self.cover)
+        failing = self.failing(tokens, lengths)
+        self.failed += len(failing)
+        if not len(failing):
+            return tokens, lengths
+        merged, sizes = self._by_size(held, failing, self.merges, self.merge)
+        starts = np.cumsum(lengths) - lengths
+        starts[failing] = len(tokens) + np.cumsum(sizes) - sizes
+        lengths[failing] = sizes
+        return np.concatenate([tokens, merged])[spread(starts, lengths)], lengths
+
+    def _by_size(self, held: list[bytes], which: np.ndarray, together, alone
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of the words ``which``: short ones together, each long one alone."""
+        long = [i for i, at in enumerate(which) if len(held[at]) > SHORT_BYTES]
+        if not long:
+            return together([held[at] for at in which])
+        lengths, parts = np.zeros(len(which), np.int64), []
+        short = np.setdiff1d(np.arange(len(which)), long)
+        tokens = np.zeros(0, np.int64)
+        if len(short):
+            tokens, lengths[short] = together([held[which[i]] for i in short])
+        starts = np.zeros(len(which), np.int64)
+        starts[short] = np.cumsum(lengths[short]) - lengths[short]
+        done = len(tokens)
+        for i in long:
+            parts.append(alone(held[which[i]]))
+            starts[i], lengths[i] = done, len(parts[-1])
+            done += lengths[i]
+        return np.concatenate([tokens, *map(np.asarray, parts)])[spread(starts, lengths)], lengths
+
+    def failing(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which covers have a border that a merge crosses."""
+        ends, size = np.cumsum(lengths), len(self.vocabulary.pieces)
+        inner = np.ones(max(len(tokens) - 1, 0), bool)
         inner[ends[:-1] - 1] = False
         at = np.flatnonzero(inner)
-        codes, which = np.unique(flat[at] * len(self.vocabulary.pieces) + flat[at + 1],
+        codes, which = np.unique(tokens[at].astype(np.int64) * size + tokens[at + 1],
                                  return_inverse=True)
-        wrong = self.vocabulary.crossed(*np.divmod(codes, len(self.vocabulary.pieces)))[which]
-        failing = set(np.searchsorted(ends, at[wrong], side="right").tolist())
-        self.failed += len(failing)
-        return [np.array(self.merge(held[i]) if i in failing else covers[i], np.int32)
-                for i in range(len(words))]
+        wrong = self.vocabulary.crossed(*np.divmod(codes, size))[which]
+        return np.unique(np.searchsorted(ends, at[wrong], side="right"))
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all words in order, and how many each word has."""
         coded = pa.array(words, pa.large_string()).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        kept = self.kept
-        tokens = [kept.get(word) for word in distinct]
-        fresh = [i for i, found in enumerate(tokens) if found is None]
-        if fresh:
-            if len(kept) + len(fresh) > KEPT_WORDS:
-                kept.clear()
-                kept.update({token: np.array([number], np.int32)
-                             for token, number in self.vocabulary.specials.items()})
-            for i, found in zip(fresh, self.resolve([distinct[i] for i in fresh])):
-                tokens[i] = found
-                if len(distinct[i]) <= KEPT_CHARS:
-                    kept[distinct[i]] = found
-        sizes = np.array([len(found) for found in tokens], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        at = coded.indices.to_numpy()
-        lengths = sizes[at]
-        return np.concatenate(tokens)[spread(starts[at], lengths)], lengths
+        at = np.array([self.kept.get(word, -1) for word in distinct])
+        fresh = np.flatnonzero(at < 0)
+        if len(fresh):
+            new = [distinct[i] for i in fresh]
+            tokens, lengths = self.resolve(new)
+            at[fresh] = len(self.lengths) + np.arange(len(new))
+            self.kept.update(zip(new, at[fresh].tolist()))
+            self.tokens = np.concatenate([self.tokens, tokens.astype(np.int32)])
+            self.lengths = np.concatenate([self.lengths, lengths])
+        starts = np.cumsum(self.lengths) - self.lengths
+        place = at[coded.indices.to_numpy()]
+        lengths = self.lengths[place]
+        tokens = self.tokens[spread(starts[place], lengths)]
+        if len(self.kept) > KEPT_WORDS or len(self.tokens) > KEPT_TOKENS:
+            self._forget()
+        return tokens, lengths
 
     def words_of(self, text: str) -> list[str]:
         """Words of a text without special tokens; letters unknown to the reader are symbols."""
