@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketlens.llm.store import free_name
 from basketlens.llm.words import ALPHANUMERIC, gram_hashes, mixed, slices, whole_grams, word_hashes
 
 WINDOW_WORDS = 13
@@ -254,5 +255,6 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFram
     """The documents, all columns, that are not contaminated, each judged by its own text."""
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
     judged = contamination(documents.select(key.alias("doc_id"), "text"), benchmark)
-    bad = judged.where("contaminated").select(F.col("doc_id").alias("bad_key")).distinct()
-    return documents.join(bad, key == F.col("bad_key"), "left_anti")
+    name = free_name(documents, "bad_key")
+    bad = judged.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return documents.withColumn(name, key).join(bad, name, "left_anti").drop(name)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.store import stored
+from basketlens.llm.store import free_name, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (5, 2, 1)
@@ -137,8 +137,10 @@ def write_out(documents: DataFrame, quality: DataFrame, repeats: int = MOST_REPE
 
     Rows that share a doc_id are taken as one: as often as the first of them.
     """
+    mixed_id, times = (free_name(documents, name) for name in ("mixed_id", "mix_repeats"))
     chosen = (mix(documents, quality, repeats).where("repeats > 0")
-              .groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("repeats").alias("mix_repeats")))
-    return (documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_repeats"))))
-            .drop("mixed_id", "mix_repeats"))
+              .groupBy(F.col("doc_id").alias(mixed_id)).agg(F.max("repeats").alias(times)))
+    return (documents.join(chosen, F.col("doc_id").eqNullSafe(F.col(mixed_id)))
+            .withColumn(free_name(documents, "mix_copy"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+            .drop(mixed_id, times))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.components import components
-from basketlens.llm.store import stored
+from basketlens.llm.store import free_name, stored
 from basketlens.llm.words import ALPHANUMERIC, mixed, shingles, slices, word_hashes
 
 SHINGLE_WORDS = 5
@@ -257,6 +257,8 @@ def one_of_each(documents: DataFrame, similarity: float = SIMILARITY) -> DataFra
     """
     kept = (_classed(documents, similarity).groupBy("component")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("least"))
-            .select(F.col("least.node").alias("kept_node")))
-    return (documents.join(kept, _node() == F.col("kept_node"), "left_semi")
-            .dropDuplicates(["doc_id", "text"]))
+            .select(F.col("least.node").alias("node")))
+    name = free_name(documents, "kept_node")
+    return (documents.withColumn(name, _node()).join(
+        kept.withColumnRenamed("node", name), name, "left_semi")
+            .dropDuplicates(["doc_id", "text"]).drop(name))

@@ -51,6 +51,30 @@ def one_text_each(frame: DataFrame) -> DataFrame:
             .select("doc_id", F.col("least.text").alias("text")))
 
 
+#: Bytes of a batch that goes to a Python worker, where the session sets no other bound.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches bounded by bytes unless it bounds them itself.
+
+    Long texts come by the thousand in batches of rows; each batch is held by the executor
+    and by its worker at once, so whole documents are passed in small ones.
+    """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, str(BATCH_BYTES))
+    return spark
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``frame`` has no column of that name in any case."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shipped(spark: SparkSession) -> SparkSession:
     """The session, with this package's modules sent to its Python workers once."""
     context = spark.sparkContext

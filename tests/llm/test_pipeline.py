@@ -56,4 +56,4 @@ def test_stages_are_the_operators():
 def test_registered_queries_and_statements():
     names = set(__spark_entry__.queries())
     assert {*REGISTRY, "pipeline"} <= names and set(ORACLE) <= set(REGISTRY)
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
