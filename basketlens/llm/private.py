@@ -14,7 +14,9 @@ stretch whose edge a span reaches is read on until none does, or to the ends of
 Spans that overlap no base span are kept.  Memory grows with the longest stretch.
 
 The model is fitted on the driver from at most ``SAMPLE_ROWS`` documents (least hashes of
-the id among documents with a digit or an at sign) and ``TRAIN_WINDOWS`` windows.
+the id among documents of at most ``SAMPLE_CHARS`` characters with a digit or an at sign),
+``WINDOWS_A_TEXT`` windows of each and ``TRAIN_WINDOWS`` windows in all.  These bounds hold
+for learning alone; spans are looked for in all texts as a whole.
 
 Defined results: a null text is empty; offsets are in code points, end exclusive; repeated
 rows give a row each; without labelled spans the model adds none; other columns are kept
@@ -34,10 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.store import hashed_sample
-from basketlens.llm.words import utf8
+from basketlens.llm.words import slices, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 1_500
+SAMPLE_CHARS = 100_000
+WINDOWS_A_TEXT = 12
 TRAIN_WINDOWS = 2_560
 WINDOW = 64
 STEP = WINDOW // 2
@@ -270,23 +274,35 @@ def fit_tagger(codes: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, rate:
 
 
 def decode(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best tag sequence of each row of emissions, and each tag's marginal probability."""
-    alpha, beta, total = forward_backward(scores, moves)
+    """Best tag sequence of each row of emissions, and each tag's marginal probability.
+
+    Weights are brought back to a sum of one at every character, so that they neither grow
+    nor lose digits along a stretch of any length.
+    """
     batch, length, _ = scores.shape
+    inner = moves[1:]
+    alpha = np.empty_like(scores)
     back = np.empty((length, batch, TAGS), np.int8)
-    best = scores[:, 0] + moves[0]
+    best = alpha[:, 0] = scores[:, 0] + moves[0]
     for t in range(1, length):
-        steps = best[:, :, None] + moves[1:]
+        steps = best[:, :, None] + inner
         back[t] = steps.argmax(1)
         best = steps.max(1) + scores[:, t]
+        best -= best.max(1, keepdims=True)
+        here = scores[:, t] + _log_sum(alpha[:, t - 1, :, None] + inner, 1)
+        alpha[:, t] = here - _log_sum(here, 1)[:, None]
     tags = np.empty((batch, length), np.int8)
     tags[:, -1] = best.argmax(1)
     rows = np.arange(batch)
     for t in range(length - 1, 0, -1):
         tags[:, t - 1] = back[t, rows, tags[:, t]]
-    alpha += beta
-    own = np.take_along_axis(alpha, tags[:, :, None].astype(np.int64), 2)[:, :, 0]
-    return tags, np.exp(own - total[:, None])
+    sure, beta = np.empty((batch, length), scores.dtype), np.zeros_like(best)
+    for t in range(length - 1, -1, -1):
+        both = alpha[:, t] + beta
+        sure[:, t] = np.exp(both[rows, tags[:, t]] - _log_sum(both, 1))
+        beta = _log_sum(inner + (scores[:, t] + beta)[:, None, :], 2)
+        beta -= beta.max(1, keepdims=True)
+    return tags, sure
 
 
 # --- windows of whole texts ------------------------------------------------------------
@@ -470,8 +486,8 @@ def labelled_windows(texts: list[str], count: int = TRAIN_WINDOWS, seed: int = 1
         held = marks_of(changed, codes)
         held |= tags[:len(codes)] > 0
         starts = window_starts(held)
-        if len(starts) > 12:
-            starts = rng.choice(starts, 12, replace=False)
+        if len(starts) > WINDOWS_A_TEXT:
+            starts = rng.choice(starts, WINDOWS_A_TEXT, replace=False)
         for s, one in zip(starts, window_codes(codes, starts)):
             windows.append(one)
             tagged.append(tags[s:s + WINDOW])
@@ -484,7 +500,7 @@ def labelled_windows(texts: list[str], count: int = TRAIN_WINDOWS, seed: int = 1
 def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Tagger | None:
     """Fit the tagger on a bounded sample of documents; none where no span is labelled."""
     marked = (documents.select("doc_id", F.col("text").cast("string").alias("text"))
-              .where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 100_000)))
+              .where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS)))
     sample = hashed_sample(marked, sample_rows).select("text").toArrow()
     codes, tags = labelled_windows(sample.column("text").to_pylist())
     return fit_tagger(codes, tags) if (tags > 0).any() else None
@@ -559,23 +575,30 @@ def masked(text: str, spans: list[Span]) -> str:
 def _redact(batches: Iterator[pa.RecordBatch], model: Tagger | None, text_at: int, size_at: int
             ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column, fresh = batch.column(text_at), {}
-        for row, text, base, added in _found(column, model):
+        fresh: dict[int, str] = {}
+        for row, text, base, added in _found(batch.column(text_at), model):
             if base or added:
                 fresh[row] = masked(text, base + added)
-        if fresh:
-            changed = column.to_pylist()
-            for row, text in fresh.items():
-                changed[row] = text
-            columns = list(batch.columns)
-            columns[text_at] = pa.array(changed, column.type)
-            if size_at >= 0:
-                sizes = columns[size_at].to_pylist()
-                for row, text in fresh.items():
-                    sizes[row] = len(text)
-                columns[size_at] = pa.array(sizes, columns[size_at].type)
-            batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-        yield batch
+        rows = np.array(sorted(fresh), np.int64)
+        for first, last, _, _ in slices(batch.column(text_at)):  # changed a slice at a time
+            part = batch.slice(first, last - first)
+            changed = rows[np.searchsorted(rows, first):np.searchsorted(rows, last)]
+            if len(changed):
+                columns = list(part.columns)
+                columns[text_at] = _replaced(columns[text_at], changed - first,
+                                             [fresh[row] for row in changed])
+                if size_at >= 0:
+                    columns[size_at] = _replaced(columns[size_at], changed - first,
+                                                 [len(fresh[row]) for row in changed])
+                part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
+            yield part
+
+
+def _replaced(column: pa.Array, rows: np.ndarray, values: list) -> pa.Array:
+    """``column`` with other values in some rows."""
+    at = np.arange(len(column))
+    at[rows] = len(column) + np.arange(len(rows))
+    return pa.concat_arrays([column, pa.array(values, column.type)]).take(pa.array(at))
 
 
 def redacted(documents: DataFrame, model: Tagger | None) -> DataFrame:

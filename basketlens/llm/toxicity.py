@@ -203,9 +203,11 @@ def _clean(batches: Iterator[pa.RecordBatch], model: ChainModel, id_at: int, tex
     for batch in batches:
         pair = pa.RecordBatch.from_arrays([batch.column(id_at), batch.column(text_at)],
                                           names=["doc_id", "text"])
-        p = np.concatenate([b.column("p_toxic").to_numpy() for b in _apply(iter([pair]), model)]
-                           or [np.zeros(0)])
-        yield batch.filter(pa.array(p < threshold))
+        done = 0
+        for scored in _apply(iter([pair]), model):  # a slice at a time, not the batch again
+            part = batch.slice(done, scored.num_rows)
+            done += scored.num_rows
+            yield part.filter(pa.array(scored.column("p_toxic").to_numpy() < threshold))
 
 
 def without_toxic(documents: DataFrame, model: ChainModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -175,3 +175,33 @@ def test_redaction_keeps_rows_columns_and_clean_texts(documents):
 def test_no_labelled_spans_no_model(documents):
     assert private.train(documents([(1, "nothing 5"), (2, None)])) is None
     assert private.personal_data(documents([]), None).collect() == []
+
+
+def test_marginals_of_a_very_long_stretch():
+    rng = np.random.default_rng(6)
+    moves = (rng.normal(size=(private.TAGS + 1, private.TAGS)) + private.ALLOWED).astype(np.float32)
+    scores = (3 * rng.normal(size=(1, 200_000, private.TAGS))).astype(np.float32)
+    tags, sure = private.decode(scores, moves)
+    assert (sure >= 0).all() and sure.max() <= 1 + 1e-3
+    # The first characters' marginals do not depend on what comes long after them.
+    near, few = private.decode(scores[:, :400].astype(np.float64), moves.astype(np.float64))
+    assert (near[0, :300] == tags[0, :300]).all()
+    assert np.abs(few[0, :300] - sure[0, :300]).max() < 1e-3
+    alpha, beta, total = private.forward_backward(scores[:, :400].astype(np.float64), moves)
+    exact = np.exp(alpha + beta - total[:, None, None])
+    own = np.take_along_axis(exact, near[:, :, None].astype(np.int64), 2)[0, :, 0]
+    assert np.abs(own - few[0]).max() < 1e-6
+
+
+def test_masking_replaces_only_changed_rows(spark, monkeypatch):
+    from basketlens.llm import words
+    monkeypatch.setattr(words, "SLICE_BYTES", 64)
+    texts = [None, "", "plain " * 30, "mail a.b@mail.example.com now", "x" * 300, "ip 10.0.0.1"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array([None if t is None else len(t) for t in texts], pa.int64()),
+         pa.array(range(6))], names=["text", "n_chars", "other"])
+    found = pa.Table.from_batches(private._redact(iter([batch.slice(0, 4), batch.slice(4)]), None, 0, 1))
+    assert found.column("text").to_pylist() == [
+        None, "", texts[2], "mail [EMAIL] now", texts[4], "ip [IP]"]
+    assert found.column("n_chars").to_pylist() == [None, 0, 180, 16, 300, 7]
+    assert found.column("other").to_pylist() == list(range(6))
