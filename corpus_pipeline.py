@@ -8,29 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import decontam, mixing, near, private, toxicity
-from basketlens.llm.store import shipped, stored
+from basketlens.llm.store import bounded_batches, shipped, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain rejects go; it learns from the documents given."""
+    bounded_batches(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.without_toxic(docs, model)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by similarity the one with the least doc_id stays."""
+    bounded_batches(spark)
     return near.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
+    bounded_batches(spark)
     return decontam.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked in the text; no document goes."""
+    bounded_batches(spark)
     return private.redacted(docs, private.train(docs))
 
 
