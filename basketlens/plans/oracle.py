@@ -584,6 +584,11 @@ oracle("fitted_perceptron_report", """
 SELECT data_split, score_kind, count(*) AS rows, CAST(sum(target_redeemed) AS BIGINT) AS positives,
        true AS probabilities, CASE WHEN data_split = 'train' AND score_kind = 'raw' THEN true END AS better_than_chance
 FROM dataset, (SELECT unnest(['raw', 'calibrated']) AS score_kind) GROUP BY 1, 2""")
+oracle("fitted_network_report", """
+SELECT data_split, score_kind, count(*) AS rows, CAST(sum(target_redeemed) AS BIGINT) AS positives,
+       true AS probabilities, true AS least_validation_loss,
+       CASE WHEN data_split <> 'test' AND score_kind = 'plain' THEN true END AS beats_baselines
+FROM dataset, (SELECT unnest(['plain', 'weighted']) AS score_kind) GROUP BY 1, 2""")
 oracle("platt_calibrator", """
 SELECT 'platt_scaling' AS method, count(*) AS fit_rows,
        CAST(sum(target_redeemed) AS BIGINT) AS fit_positive_rows,

@@ -11,7 +11,7 @@ from basketlens.functions.days import in_feature_window, in_outcome_window
 from basketlens.functions.finance import monthly_rate, npv_of_array, npv_sum
 from basketlens.operators import (
     campaigns as campaign_ops, chunking, economics as money, evaluation, features, lookups, marts,
-    quality, reports, response, retrieval, routing, training,
+    network, quality, reports, response, retrieval, routing, training,
 )
 from basketlens.plans.retail import RetailAnalysis, StoredAnalysis
 from basketlens.settings import FeatureWindows, QualityRules
@@ -373,6 +373,41 @@ def fitted_perceptron_report(a: RetailAnalysis) -> DataFrame:
                F.col("roc_auc") > 0.5).alias("better_than_chance"))
 
 
+@query
+def fitted_network_report(a: RetailAnalysis) -> DataFrame:
+    """The network fitted by data-parallel Adam, without and with class weights.
+
+    Rows and positives by split, whether all scores are probabilities, whether the kept
+    weights have the least validation loss, and for the network without weights whether it
+    ranks training and validation rows better than every baseline.
+    """
+    keys, labels = ["data_split", "score_kind"], ["data_split", "target_redeemed"]
+    parts, fits = [], {}
+    for name, weighted in (("plain", False), ("weighted", True)):
+        fits[name] = network.fit_network(a.stored_dataset, a.standardizer, weighted=weighted)
+        scored = response.score(a.stored_dataset, a.standardizer, fits[name].network, keep=labels)
+        parts.append(evaluation.long_scores(scored, {name: "raw_probability"}, labels))
+    long = parts[0].unionByName(parts[1])
+    report = evaluation.full_report(long, keys)
+    baselines = evaluation.full_report(evaluation.long_scores(
+        evaluation.baseline_scores(a.stored_dataset), evaluation.BASELINES, labels), keys)
+    to_beat = baselines.groupBy("data_split").agg(
+        F.max("roc_auc").alias("auc_to_beat"),
+        F.max("pr_auc_average_precision").alias("precision_to_beat"))
+    sound = long.groupBy(keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("target_redeemed").alias("positives"),
+        F.every(F.col("score").between(0, 1)).alias("probabilities"))
+    least = F.create_map(*[F.lit(value) for name, fit in fits.items() for value in (
+        name, fit.best_validation_loss == min(step["validation_loss"] for step in fit.history)
+        and fit.best_validation_loss < fit.history[0]["validation_loss"])])
+    judged = (F.col("score_kind") == "plain") & (F.col("data_split") != "test")
+    return sound.join(report.drop("rows", "positives"), keys).join(to_beat, "data_split").select(
+        *keys, sound["rows"], sound["positives"], "probabilities",
+        least[F.col("score_kind")].alias("least_validation_loss"),
+        F.when(judged, (F.col("roc_auc") > F.col("auc_to_beat")) & (
+            F.col("pr_auc_average_precision") > F.col("precision_to_beat"))).alias("beats_baselines"))
+
+
 @query
 def platt_calibrator(a: RetailAnalysis) -> DataFrame:
     """The calibrator's score equations: fitted positives, and their sum of logits."""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -22,3 +25,17 @@ def get_session(name: str, settings: Mapping[str, str] | None = None) -> SparkSe
     for key, value in {**RECOMMENDED, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def with_package(spark: SparkSession) -> SparkSession:
+    """The session, with this package sent to its Python workers once."""
+    context = spark.sparkContext
+    if not getattr(context, "retail_package_sent", False):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as held:
+            for module in sorted(package.rglob("*.py")):
+                held.write(module, module.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context.retail_package_sent = True
+    return spark
