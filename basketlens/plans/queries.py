@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from basketlens.functions.days import in_feature_window, in_outcome_window
+from basketlens.functions.days import feature_bounds, outcome_bounds
 from basketlens.functions.finance import monthly_rate, npv_of_array, npv_sum
 from basketlens.operators import (
     campaigns as campaign_ops, chunking, economics as money, evaluation, features, lookups, marts,
@@ -65,14 +65,14 @@ def parquet_projection(a: RetailAnalysis) -> DataFrame:
 
 @query
 def feature_window_lines(a: RetailAnalysis) -> DataFrame:
-    return in_feature_window(a.tables.transactions, 2000, 90).select(
+    return a.tables.lines_between(*feature_bounds(2000, 90)).select(
         "household_key", "BASKET_ID", "DAY", "PRODUCT_ID", "QUANTITY",
         F.col("SALES_VALUE").cast("double").alias("SALES_VALUE"))
 
 
 @query
 def outcome_window_lines(a: RetailAnalysis) -> DataFrame:
-    return in_outcome_window(a.tables.transactions, 2000, 30).select(
+    return a.tables.lines_between(*outcome_bounds(2000, 30)).select(
         "household_key", "BASKET_ID", "DAY", "PRODUCT_ID", "QUANTITY",
         F.col("SALES_VALUE").cast("double").alias("SALES_VALUE"))
 

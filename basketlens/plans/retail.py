@@ -9,6 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
+from basketlens.functions.days import feature_bounds
 from basketlens.operators import campaigns as campaign_ops
 from basketlens.operators import economics as money
 from basketlens.operators import evaluation, features, quality, response, retrieval, training
@@ -60,15 +61,21 @@ class RetailAnalysis:
         return (self.tables.assignments.join(eligible.select("CAMPAIGN"), "CAMPAIGN")
                 .select("household_key", "CAMPAIGN", F.lit(1).alias("campaign_exposure")))
 
+    def _window_lines(self) -> DataFrame:
+        """Transactions of the feature window, from as few files as the tables allow."""
+        between = getattr(self.tables, "lines_between", None)
+        bounds = feature_bounds(self.windows.cutoff, self.windows.lookback)
+        return between(*bounds) if between else self.tables.transactions
+
     @cached_property
     def customers(self) -> DataFrame:
         t = self.tables
         return features.household_features(
-            t.transactions, t.products, self.exposures, t.redemptions, self.windows)
+            self._window_lines(), t.products, self.exposures, t.redemptions, self.windows)
 
     @cached_property
     def products(self) -> DataFrame:
-        return features.product_features(self.tables.transactions, self.tables.products,
+        return features.product_features(self._window_lines(), self.tables.products,
                                          self.windows)
 
     @cached_property

@@ -15,6 +15,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from basketlens.functions.days import between_days
+from basketlens.sources.layout import ClusteredTable, store_clustered
 from basketlens.sources.sinks import shared_folder, state_of, stored
 
 FIRST_DATE = "1995-01-01"
@@ -65,6 +67,10 @@ class RetailTables:
             "household_key", "BASKET_ID", "DAY", "PRODUCT_ID", "QUANTITY", "SALES_VALUE",
             "STORE_ID", "RETAIL_DISC", "COUPON_DISC", "COUPON_MATCH_DISC", "coupon_line")
 
+    def lines_between(self, lower: int | None, upper: int) -> DataFrame:
+        """Transactions of the days ``[lower, upper)``."""
+        return self.transactions.where(between_days(F.col("DAY"), lower, upper))
+
     @cached_property
     def products(self) -> DataFrame:
         unclassified = F.col("p_size") % 10 == 0
@@ -134,8 +140,8 @@ class RetailTables:
 class PreparedTables(RetailTables):
     """The derived tables, written once per session and then read as stored tables.
 
-    Transaction files are spread evenly by hash and sorted by day inside, so that
-    day windows skip row groups and a crowded day or household splits over files.
+    Transaction files follow a curve over days and households, so that day windows open a
+    small share of them and a crowded day or household splits over files.
     """
 
     @cached_property
@@ -153,10 +159,17 @@ class PreparedTables(RetailTables):
     def assignments(self) -> DataFrame:
         return self._stored("assignments", super().assignments)
 
+    @cached_property
+    def clustered_transactions(self) -> ClusteredTable:
+        return store_clustered(super().transactions, f"{self.place}/transactions", "DAY",
+                               "household_key")
+
     @cached_property
     def transactions(self) -> DataFrame:
-        lines = super().transactions.repartition("DAY", "BASKET_ID")
-        return self._stored("transactions", lines.sortWithinPartitions("DAY"))
+        return self.clustered_transactions.rows
+
+    def lines_between(self, lower: int | None, upper: int) -> DataFrame:
+        return self.clustered_transactions.between(lower, upper)
 
     @cached_property
     def redemptions(self) -> DataFrame:
