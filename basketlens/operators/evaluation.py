@@ -198,8 +198,12 @@ def full_report(scored: DataFrame, groups: Sequence[str], threshold: float = 0.5
 
 def loss_and_precision(scored: DataFrame, groups: Sequence[str], eps: float) -> DataFrame:
     """Log loss and average precision per group."""
+    return counted_loss_and_precision(score_counts(scored, groups), groups, eps)
+
+
+def counted_loss_and_precision(counts: DataFrame, groups: Sequence[str], eps: float) -> DataFrame:
+    """The same from rows (n) and positives (pos) per group and distinct score."""
     groups = list(groups)
-    counts = score_counts(scored, groups)
     precision = _ranking(counts, groups).select(
         *groups, F.col("pr_auc_average_precision").alias("precision"))
     return counts.groupBy(*groups).agg(mean_log_loss(eps).alias("loss")).join(precision, groups)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -16,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketlens.contracts import RESPONSE_FEATURES
 from basketlens.functions.probability import platt, sigmoid
-from basketlens.operators.evaluation import loss_and_precision
+from basketlens.operators.evaluation import counted_loss_and_precision, loss_and_precision
+from basketlens.sources.session import with_package
 
 
 def in_split(dataset: DataFrame, split: str) -> DataFrame:
@@ -280,23 +283,20 @@ def load_model(folder: str, features: Sequence[str] = RESPONSE_FEATURES
 BAND_DIGITS = 3
 
 
-def permuted_scores(validation: DataFrame, standardizer: Standardizer, network: FeedForward,
-                    key: Sequence[str], repeats: int, seed: int) -> DataFrame:
-    """Score every row with one feature at a time taken from another row.
+def _with_donors(validation: DataFrame, standardizer: Standardizer, key: Sequence[str],
+                 keep: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """Every row once per repeat, with its inputs x and those of another row, the donor.
 
     A repeat orders rows by a seeded hash and hands each row its successor's
     inputs, the last row the first one's: a random cyclic permutation of all rows.
     Rows are ordered within bands of the hash, and the last row of a band takes the
-    first row of the next band that has any, so no task orders all rows.  Only the
-    changed input is added to the hidden sums, which are computed once per row.
+    first row of the next band that has any, so no task orders all rows.
     """
-    names = list(standardizer.features)
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("repeat").cast("string"),
                                *[F.col(name).cast("string") for name in key]))
     rows = (validation.select(*key, "target_redeemed", standardizer.vector().alias("x"))
-            .withColumn("sums", network.preactivations(F.col("x")))
             .withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-            .withColumn("digest", digest)
+            .select(*keep, "target_redeemed", "x", "repeat", digest.alias("digest"))
             .withColumn("band", F.substring("digest", 1, BAND_DIGITS)))
     bands = Window.partitionBy("repeat").orderBy("band")
     ring = bands.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -304,9 +304,21 @@ def permuted_scores(validation: DataFrame, standardizer: Standardizer, network:
              .select("repeat", "band", F.coalesce(
                  F.lead("head").over(bands), F.first("head").over(ring)).alias("next_head")))
     order = Window.partitionBy("repeat", "band").orderBy("digest")
-    rows = (rows.withColumn("follower", F.lead("x").over(order))
+    return (rows.withColumn("follower", F.lead("x").over(order))
             .join(heads, ["repeat", "band"])
-            .withColumn("donor", F.coalesce("follower", "next_head")))
+            .select(*keep, "repeat", "target_redeemed", "x",
+                    F.coalesce("follower", "next_head").alias("donor")))
+
+
+def permuted_scores(validation: DataFrame, standardizer: Standardizer, network: FeedForward,
+                    key: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """Score every row with one feature at a time taken from its donor.
+
+    Only the changed input is added to the hidden sums, which are computed once per row.
+    """
+    names = list(standardizer.features)
+    rows = _with_donors(validation, standardizer, key, key, repeats, seed).withColumn(
+        "sums", network.preactivations(F.col("x")))
     feature = F.col("feature_index")
     change = F.get("donor", feature) - F.get("x", feature)
     shifted = network.shifted(F.col("sums"), feature, change)
@@ -317,6 +329,51 @@ def permuted_scores(validation: DataFrame, standardizer: Standardizer, network:
                     sigmoid(network.head(shifted)).alias("score")))
 
 
+def _count_scores(batches: Iterator[pa.RecordBatch], network: FeedForward, digits: int | None
+                  ) -> Iterator[pa.RecordBatch]:
+    """Rows and positives per feature, repeat and distinct score of each batch."""
+    hidden, output = np.array(network.hidden_weights), np.array(network.output_weights)
+    inputs = hidden.shape[1]
+    for batch in batches:
+        repeat, label = (batch.column(i).to_numpy() for i in (0, 1))
+        x, donor = (batch.column(i).flatten().to_numpy().reshape(-1, inputs) for i in (2, 3))
+        sums = x @ hidden.T + np.array(network.hidden_bias)
+        for feature in range(inputs):
+            moved = sums + (donor[:, feature] - x[:, feature])[:, None] * hidden[:, feature]
+            logit = np.maximum(moved, 0.0) @ output + network.output_bias
+            scores = 1.0 / (1.0 + np.exp(-np.clip(logit, -700, 700)))
+            if digits is not None:
+                scores = np.round(scores, digits)
+            order = np.lexsort((scores, repeat))
+            r, s = repeat[order], scores[order]
+            first = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (s[1:] != s[:-1]))[:len(r)])
+            if len(first):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), feature, np.int32)), pa.array(r[first]),
+                     pa.array(s[first]), pa.array(np.diff(np.append(first, len(r)))),
+                     pa.array(np.add.reduceat(label[order], first))],
+                    names=["feature_index", "repeat", "score", "n", "pos"])
+
+
+def permuted_counts(validation: DataFrame, standardizer: Standardizer, network: FeedForward,
+                    key: Sequence[str], repeats: int, seed: int, digits: int | None = None
+                    ) -> DataFrame:
+    """Rows and positives per feature, repeat and score, as of ``permuted_scores``.
+
+    All features of a batch of rows are scored as arrays and counted before any exchange, so
+    rows are multiplied by repeats for their donors, never by features.
+    """
+    with_package(validation.sparkSession)
+    rows = _with_donors(validation, standardizer, key, (), repeats, seed).select(
+        F.col("repeat").cast("int"), F.col("target_redeemed").cast("long"), "x", "donor")
+    counted = rows.mapInArrow(lambda batches: _count_scores(batches, network, digits),
+                              "feature_index int, repeat int, score double, n long, pos long")
+    names = F.array(*[F.lit(name) for name in standardizer.features])
+    return (counted.groupBy("feature_index", "repeat", "score")
+            .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+            .withColumn("feature", F.get(names, F.col("feature_index"))).drop("feature_index"))
+
+
 def permutation_importance(validation: DataFrame, standardizer: Standardizer,
                            network: FeedForward, key: Sequence[str] = ("household_key", "CAMPAIGN"),
                            repeats: int = 10, seed: int = 20260929,
@@ -326,17 +383,15 @@ def permutation_importance(validation: DataFrame, standardizer: Standardizer,
     ``digits`` rounds scores first, so that engines that sum in different
     orders agree on which scores are tied.
     """
-    def measure(scored: DataFrame, groups: list[str]) -> DataFrame:
-        if digits is not None:
-            scored = scored.withColumn("score", F.round("score", digits))
-        return loss_and_precision(scored, groups, eps=1e-7)
-
     plain = score(validation, standardizer, network, keep=["target_redeemed"]).select(
         "target_redeemed", F.col("raw_probability").alias("score"), F.lit(0).alias("base"))
-    base = measure(plain, ["base"]).select(F.struct("loss", "precision")).scalar()
+    if digits is not None:
+        plain = plain.withColumn("score", F.round("score", digits))
+    base = loss_and_precision(plain, ["base"], eps=1e-7).select(F.struct("loss", "precision")).scalar()
     base_loss, base_precision = base["loss"], base["precision"]
-    permuted = measure(permuted_scores(validation, standardizer, network, key, repeats, seed),
-                       ["feature", "repeat"])
+    permuted = counted_loss_and_precision(
+        permuted_counts(validation, standardizer, network, key, repeats, seed, digits),
+        ["feature", "repeat"], eps=1e-7)
     return (permuted.select(
         "feature", (base_precision - F.col("precision")).alias("decrease"),
         (F.col("loss") - base_loss).alias("increase"))

@@ -174,3 +174,21 @@ def test_permutation_moves_one_feature_and_keeps_its_values(frame, digits, monke
         assert sorted(first.values()) == pytest.approx(sorted(before.values()))
         assert sum(first[k] != pytest.approx(before[k]) for k in first) > 20
         assert other == pytest.approx(before)
+
+
+@pytest.mark.parametrize("digits", [None, 2])
+def test_counted_permutations_equal_scored_ones(frame, digits):
+    _, data = model_rows(frame, 80)
+    s = response.Standardizer.fit(data)
+    rng = random.Random(1)
+    net = response.FeedForward(tuple(tuple(rng.uniform(-1, 1) for _ in range(14)) for _ in range(5)),
+                               (0.1, -0.3, 0.0, 0.2, 0.5), (1.0, -1.5, 0.7, 2.0, -0.4), -0.1)
+    key = ["household_key", "CAMPAIGN"]
+    scored = response.permuted_scores(data, s, net, key, 3, 9).withColumn(
+        "score", F.round("score", 12 if digits is None else digits))
+    expected = evaluation.score_counts(scored, ["feature", "repeat"])
+    found = response.permuted_counts(data, s, net, key, 3, 9, digits).withColumn(
+        "score", F.round("score", 12)).groupBy("feature", "repeat", "score").agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("pos")).select(expected.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert response.permuted_counts(data.limit(0), s, net, key, 3, 9).count() == 0
