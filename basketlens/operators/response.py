@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from basketlens.contracts import RESPONSE_FEATURES
 from basketlens.functions.probability import platt, sigmoid
 from basketlens.operators.evaluation import counted_loss_and_precision, loss_and_precision
 from basketlens.sources.session import with_package
+from basketlens.sources.sinks import stored
 
 
 def in_split(dataset: DataFrame, split: str) -> DataFrame:
@@ -389,9 +391,10 @@ def permutation_importance(validation: DataFrame, standardizer: Standardizer,
         plain = plain.withColumn("score", F.round("score", digits))
     base = loss_and_precision(plain, ["base"], eps=1e-7).select(F.struct("loss", "precision")).scalar()
     base_loss, base_precision = base["loss"], base["precision"]
-    permuted = counted_loss_and_precision(
-        permuted_counts(validation, standardizer, network, key, repeats, seed, digits),
-        ["feature", "repeat"], eps=1e-7)
+    # Ranking reads the counts several times, so they are written once.
+    counts = stored(permuted_counts(validation, standardizer, network, key, repeats, seed, digits),
+                    f"permuted-{uuid4().hex}")
+    permuted = counted_loss_and_precision(counts, ["feature", "repeat"], eps=1e-7)
     return (permuted.select(
         "feature", (base_precision - F.col("precision")).alias("decrease"),
         (F.col("loss") - base_loss).alias("increase"))
