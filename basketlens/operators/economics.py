@@ -7,14 +7,15 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketlens.functions.finance import annuity_factor, clv, monthly_rate, offer_value
-from basketlens.operators.ordering import lower_quantiles
+from basketlens.operators.ordering import lower_quantiles_of
 from basketlens.operators.quality import many_to_one
 from basketlens.settings import FinanceAssumptions, SensitivityGrid
 from basketlens.sources.readers import literal_rows
 
-def lower_median(df: DataFrame, column: str) -> Column:
-    """The lower middle value, exact at any size, as a literal."""
-    return F.lit(lower_quantiles(df, column, [0.5])[0]).cast("double")
+def lower_medians(df: DataFrame, *columns: str) -> list[Column]:
+    """The lower middle value of each column, exact at any size, as literals."""
+    found = lower_quantiles_of(df, {name: [0.5] for name in columns})
+    return [F.lit(found[name][0]).cast("double") for name in columns]
 
 
 def customer_economics(customers: DataFrame, f: FinanceAssumptions) -> DataFrame:
@@ -53,10 +54,11 @@ def offer_economics(scored: DataFrame, economics: DataFrame, f: FinanceAssumptio
 
 def clv_summary(economics: DataFrame) -> DataFrame:
     horizons = ("12", "24")
+    values = [f"modeled_{h}_month_clv" for h in horizons]
     aggregates = [aggregate.alias(f"{name}_{h}")
-                  for h in horizons for value in (f"modeled_{h}_month_clv",)
+                  for h, value, median in zip(horizons, values, lower_medians(economics, *values))
                   for name, aggregate in (
-                      ("mean", F.avg(value)), ("median", lower_median(economics, value)),
+                      ("mean", F.avg(value)), ("median", median),
                       ("min", F.min(value)), ("max", F.max(value)))]
     usable = F.count_if(F.col("modeled_12_month_clv").isNotNull()
                         & F.col("modeled_24_month_clv").isNotNull())
@@ -65,11 +67,13 @@ def clv_summary(economics: DataFrame) -> DataFrame:
 
 def offer_summary(offers: DataFrame) -> DataFrame:
     value = F.col("modeled_expected_offer_value")
+    probability, expected = lower_medians(offers, "calibrated_response_probability",
+                                          "modeled_expected_offer_value")
     return offers.agg(
         F.avg("calibrated_response_probability").alias("mean_probability"),
-        lower_median(offers, "calibrated_response_probability").alias("median_probability"),
+        probability.alias("median_probability"),
         F.avg(value).alias("mean_expected_value"),
-        lower_median(offers, "modeled_expected_offer_value").alias("median_expected_value"),
+        expected.alias("median_expected_value"),
         F.count_if(value > 0).alias("above_zero"),
         F.count_if(value < 0).alias("below_zero"),
         F.avg("break_even_offer_cost").alias("mean_break_even_offer_cost"))
@@ -103,7 +107,7 @@ def one_factor_scenarios(spark: SparkSession, f: FinanceAssumptions,
 
 
 def _median_monthly_revenue(economics: DataFrame, f: FinanceAssumptions) -> Column:
-    return lower_median(economics, "historical_revenue") / F.lit(f.observed_months)
+    return lower_medians(economics, "historical_revenue")[0] / F.lit(f.observed_months)
 
 
 def one_factor_sensitivity(economics: DataFrame, f: FinanceAssumptions,

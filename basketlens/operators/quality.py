@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
-from basketlens.operators.ordering import lower_quantiles
+from basketlens.operators.ordering import lower_quantiles_of
 from basketlens.contracts import OUTPUT_COLUMNS, OUTPUT_KEYS
 from basketlens.functions.text import is_blank
 from basketlens.settings import QualityRules
@@ -114,14 +114,17 @@ def schema_rows(df: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, range and quartiles of numeric columns.
 
-    Quartiles are exact lower values; the rest takes one pass.
+    Quartiles are exact lower values, of all columns together in three passes; the rest takes
+    one.
     """
     columns = list(columns or [f.name for f in df.schema.fields
                                if isinstance(f.dataType, NumericType)])
 
+    doubles = df.select(*[F.col(_quoted(name)).cast("double").alias(name) for name in columns])
+    found = lower_quantiles_of(doubles, {name: (0.25, 0.5, 0.75) for name in columns})
+
     def summary(name: str) -> Column:
-        value = F.col(_quoted(name)).cast("double")
-        quartiles = lower_quantiles(df.select(value.alias("value")), "value", (0.25, 0.5, 0.75))
+        value, quartiles = F.col(_quoted(name)).cast("double"), found[name]
         return F.struct(
             F.lit(name).alias("column_name"), F.count(value).alias("n"),
             F.avg(value).alias("mean"), F.stddev_samp(value).alias("stddev"),

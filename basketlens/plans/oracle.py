@@ -327,6 +327,27 @@ SELECT 'assignments' AS dataset, 'DESCRIPTION' AS column_name, count(*) AS row_c
 FROM campaign_table
 UNION ALL SELECT 'assignments', 'household_key', count(*), 0, 0, false FROM campaign_table
 UNION ALL SELECT 'assignments', 'CAMPAIGN', count(*), 0, NULL, false FROM campaign_table""")
+oracle("directory_inspection", " UNION ALL ".join(f"""
+SELECT '{table}=' || CAST({part} AS VARCHAR) AS dataset, '{column}' AS column_name,
+       '{kind}' AS data_type, count(*) AS row_count,
+       count(*) FILTER ({column} IS NULL) AS null_count,
+       count(*) FILTER ({column} IS NULL) > 0.2 * count(*) AS null_rate_violation,
+       {unfit} AS invalid_numeric_count,
+       {f'round(avg({column}), 6)' if kind == 'int' else 'CAST(NULL AS DOUBLE)'} AS mean,
+       {f'CAST(min({column}) AS DOUBLE)' if kind == 'int' else 'CAST(NULL AS DOUBLE)'} AS min,
+       {f'CAST(max({column}) AS DOUBLE)' if kind == 'int' else 'CAST(NULL AS DOUBLE)'} AS max,
+       CAST(0 AS BIGINT) AS malformed_rows,
+       count(*) - count(DISTINCT ({row})) AS duplicate_rows
+FROM {view} GROUP BY {part}""" for table, view, part, row, columns in (
+    ("assignments", "(SELECT * FROM campaign_table JOIN campaign_desc USING (CAMPAIGN))", "CAMPAIGN", "DESCRIPTION, household_key, CAMPAIGN",
+     (("DESCRIPTION", "string", "count(*)"), ("household_key", "int", "0"),
+      ("CAMPAIGN", "int", "CAST(NULL AS BIGINT)"))),
+    ("campaigns", "campaign_desc", "DESCRIPTION", "DESCRIPTION, CAMPAIGN, START_DAY, END_DAY",
+     (("DESCRIPTION", "string", "count(*)"), ("CAMPAIGN", "int", "CAST(NULL AS BIGINT)"),
+      ("START_DAY", "int", "CAST(NULL AS BIGINT)"), ("END_DAY", "int", "CAST(NULL AS BIGINT)"))),
+    ("demographics", "hh_demographic", "classification_1", "classification_1, household_key",
+     (("classification_1", "string", "CAST(NULL AS BIGINT)"), ("household_key", "int", "0"))))
+    for column, kind, unfit in columns))
 
 # Training set
 

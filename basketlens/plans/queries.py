@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from basketlens.functions.days import feature_bounds, outcome_bounds
 from basketlens.functions.finance import monthly_rate, npv_of_array, npv_sum
 from basketlens.operators import (
-    campaigns as campaign_ops, chunking, economics as money, evaluation, features, lookups, marts,
+    campaigns as campaign_ops, chunking, directory, economics as money, evaluation, features, lookups, marts,
     network, quality, reports, response, retrieval, routing, training,
 )
 from basketlens.plans.retail import RetailAnalysis, StoredAnalysis
@@ -259,6 +259,22 @@ def csv_inspection(a: RetailAnalysis) -> DataFrame:
     return profile.join(report["drift"].select("dataset", "row_count_changed"), "dataset")
 
 
+@query
+def directory_inspection(a: RetailAnalysis) -> DataFrame:
+    """Profile a folder of CSV files of three headers, some of them in many parts."""
+    path = sinks.fresh_path(a.tables.spark, "inspected")
+    for name, table, part in (("assignments", a.tables.assignments, "CAMPAIGN"),
+                              ("campaigns", a.tables.campaigns, "DESCRIPTION"),
+                              ("demographics", a.tables.demographics, "classification_1")):
+        (table.withColumn(name, F.col(part)).write.partitionBy(name)
+         .option("header", True).csv(f"{path}/{name}"))
+    rules = QualityRules(numeric=("household_key", "DESCRIPTION"), max_null_rate=0.2)
+    return directory.directory_profile(a.tables.spark, path, rules, directory.BY_FOLDER).select(
+        "dataset", "column_name", "data_type", "row_count", "null_count", "null_rate_violation",
+        "invalid_numeric_count", F.round("mean", 6).alias("mean"), "min", "max",
+        "malformed_rows", "duplicate_rows")
+
+
 @query
 def parquet_round_trip(a: RetailAnalysis) -> DataFrame:
     """Write the training set by split and read one split back."""

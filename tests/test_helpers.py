@@ -1,9 +1,13 @@
 """Readers, session, views, reports and stored tables that no query alone covers."""
 
 import json
+import math
+from datetime import date
+from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.operators.economics import assumptions_table
 from basketlens.operators.ordering import lower_quantiles, values_at_ranks
@@ -54,6 +58,36 @@ def test_quantiles_are_exact_with_narrow_brackets(frame, monkeypatch):
     assert lower_quantiles(df.where("false"), "value", [0.5, 0.9]) == [None, None]
 
 
+def test_many_columns_share_three_passes(spark, frame):
+    rows = [(i % 97, float((i * 7919) % 5003), Decimal(i % 13) / 4, date(2020, 1, 1 + i % 28), 7, None)
+            for i in range(9000)] + [(None, 1.5, None, None, 7, None)] * 50
+    df = frame(rows, "a int, `b.c` double, d decimal(9,2), e date, f int, g double").cache()
+    df.count()
+    shares = {name: [0.0, 0.25, 0.5, 0.99, 1.0] for name in df.columns}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "ranks")
+    try:
+        found = ordering.lower_quantiles_of(df, shares)
+        jobs = len(tracker.getJobIdsForGroup("ranks"))
+        ordering.lower_quantiles_of(df, {"b.c": shares["b.c"]})
+        single = len(tracker.getJobIdsForGroup("ranks")) - jobs
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for i, name in enumerate(df.columns):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        assert found[name] == [values[max(1, math.ceil(q * len(values))) - 1] if values else None
+                               for q in shares[name]], name
+    assert jobs == single
+    assert ordering.median(df, "a") == 48.0 and ordering.median(df, "g") is None
+
+
+def test_a_misplaced_sketch_is_corrected(frame, monkeypatch):
+    df = frame([(float(i % 1000),) for i in range(5000)], "v double")
+    monkeypatch.setattr(ordering, "_sketched", lambda value, share, slack: F.array(
+        F.max(value) - 1, F.max(value)))
+    assert lower_quantiles(df, "v", [0.3, 0.9999]) == [299.0, 999.0]
+
+
 def test_written_outputs_state_rows_and_schemas(spark, tmp_path):
     analysis = RetailAnalysis(prepared_tables(spark, FOLDER))
     for write in (write_features, write_economics):

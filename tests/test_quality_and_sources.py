@@ -3,7 +3,7 @@ import math
 import pytest
 
 from basketlens.contracts import SOURCE_SCHEMAS
-from basketlens.operators import quality
+from basketlens.operators import directory, quality
 from basketlens.settings import QualityRules
 from basketlens.sources import readers, sinks
 
@@ -175,3 +175,39 @@ def test_contracts(frame, outputs):
         quality.require_contract({k: v for k, v in outputs.items() if k != "offers"})
     with pytest.raises(ValueError, match="sections"):
         quality.require_report_sections({"a": 1}, ("a", "b"), "report")
+
+
+def test_directory_profile_by_file(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"one{i}.csv").write_text("alpha,beta\n" + f"{i},x\n{i},x\n,2020-01-0{i % 9 + 1}\n")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "Two+words [1] 5%.CSV").write_text('g,g,\n1.5,true,"a, b"\nbad,FALSE\n')
+    (tmp_path / "sub" / "days.csv").write_text("day,n\n2020-01-01,3000000000\n2020-01-02,1\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("alpha,beta\n")
+    spark.sparkContext.setJobGroup("profile", "profile")
+    try:
+        rules = QualityRules(numeric=("beta",), dates={"beta": "yyyy-MM-dd"}, max_null_rate=0.3)
+        rows = directory.directory_profile(spark, str(tmp_path), rules).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("profile"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found = {(r.dataset, r.column_name): r for r in rows}
+    assert len(rows) == len(found) == 80 + 3 + 2
+    assert jobs < 20  # three headers, 43 files; adaptive stages count as jobs
+    for i in range(40):
+        a, b = found[f"one{i}.csv", "alpha"], found[f"one{i}.csv", "beta"]
+        assert (a.data_type, a.row_count, a.null_count, a.null_rate_violation) == ("int", 3, 1, True)
+        assert (a.mean, a.min, a.max, a.duplicate_rows, a.malformed_rows) == (i, i, i, 1, 0)
+        assert (b.data_type, b.invalid_numeric_count, b.invalid_date_count) == ("string", 3, 2)
+        assert a.invalid_numeric_count is None and b.mean is None
+    two = {name: r for (dataset, name), r in found.items() if dataset == "Two+words [1] 5%.CSV"}
+    assert {n: r.data_type for n, r in two.items()} == {"g_0": "string", "g_1": "boolean", "_2": "string"}
+    assert two["g_0"].malformed_rows == 1 and two["_2"].null_count == 1
+    assert found["days.csv", "day"].data_type == "date" and found["days.csv", "n"].data_type == "bigint"
+
+
+def test_directory_profile_of_an_empty_folder(spark, tmp_path):
+    assert directory.directory_profile(spark, str(tmp_path)).count() == 0
+    (tmp_path / "empty.csv").write_text("")
+    assert directory.directory_profile(spark, str(tmp_path)).columns[0] == "dataset"
