@@ -87,28 +87,67 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM worded LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
 """
 
-QUOTATION_LINKS = r"""
+def _normalised(text: str) -> str:
+    return rf"lower(trim(regexp_replace({text}, '[\x20\x09-\x0D]+', ' ', 'g')))"
+
+
+_NEWLINE, _MARKS, _BLANK_ENDS = "chr(10)", r"'^(?:>[\x20\x09]?)+'", r"'^\n+|\n+\z', '', 'g'"
+QUOTATION_LINKS = rf"""
 WITH RECURSIVE messages AS (
-  SELECT conv_id, turn, min(role) AS role, min(text) AS text,
-         regexp_replace(regexp_replace(coalesce(min(text), ''), '^\n+', ''), '\n+$', '') AS body
-  FROM conversations GROUP BY 1, 2),
-passages AS (
-  SELECT conv_id, turn, body AS passage FROM messages
-  UNION ALL
-  SELECT conv_id, turn, unnest(string_split(body, chr(10))) FROM messages),
-index AS (
-  SELECT conv_id, lower(trim(regexp_replace(passage, '[\x20\x09-\x0D]+', ' ', 'g'))) AS passage,
-         min(turn) AS holder
-  FROM passages GROUP BY 1, 2),
-quoting AS (
-  SELECT m.*, lower(trim(regexp_replace(coalesce(a.text, b.text), '[\x20\x09-\x0D]+', ' ', 'g')))
-           AS quoted
-  FROM messages m LEFT JOIN messages a ON a.conv_id = m.conv_id AND a.turn = m.turn - 1
-  LEFT JOIN messages b ON b.conv_id = m.conv_id AND b.turn = m.turn - 2),
+  SELECT conv_id, turn, min(role) AS role, CASE WHEN count(text) = count(*) THEN min(text) END AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
+mail AS (
+  SELECT m.conv_id, m.turn, m.role, concat_ws({_NEWLINE},
+           '>> ' || replace(e.text, {_NEWLINE}, {_NEWLINE} || '>> '),
+           '> ' || replace(b.text, {_NEWLINE}, {_NEWLINE} || '> '), m.text) AS text
+  FROM messages m LEFT JOIN messages b ON b.conv_id = m.conv_id AND b.turn = m.turn - 1
+  LEFT JOIN messages e ON e.conv_id = m.conv_id AND e.turn = m.turn - 2),
+raw AS (
+  SELECT conv_id, turn, unnest(string_split(text, {_NEWLINE})) AS raw,
+         generate_subscripts(string_split(text, {_NEWLINE}), 1) AS pos FROM mail),
+numbered AS (
+  SELECT *, count(*) FILTER (level = 0) OVER (PARTITION BY conv_id, turn ORDER BY pos) AS passage
+  FROM (SELECT conv_id, turn, pos, regexp_replace(raw, {_MARKS}, '') AS line,
+               length(regexp_replace(regexp_extract(raw, {_MARKS}), '[^>]', '', 'g')) AS level
+        FROM raw)),
+bodies AS (
+  SELECT conv_id, turn, regexp_replace(coalesce(string_agg(line, {_NEWLINE} ORDER BY pos)
+           FILTER (level = 0), ''), {_BLANK_ENDS}) AS body FROM numbered GROUP BY 1, 2),
+quoted AS (
+  SELECT *, row_number() OVER nested AS depth, first_value(words) OVER nested AS outermost,
+         lead(words) OVER nested AS context
+  FROM (SELECT conv_id, turn, passage, level, list(line ORDER BY pos) AS lines,
+               {_normalised(f'string_agg(line, {_NEWLINE} ORDER BY pos)')} AS words
+        FROM numbered WHERE level > 0 GROUP BY 1, 2, 3, 4)
+  WINDOW nested AS (PARTITION BY conv_id, turn, passage ORDER BY level)),
+asked AS (
+  SELECT DISTINCT * FROM (
+    SELECT conv_id, turn, passage, depth, context, 1 AS whole, words FROM quoted
+    WHERE outermost <> ''
+    UNION ALL
+    SELECT conv_id, turn, passage, depth, context, 0, {_normalised('line')}
+    FROM (SELECT *, unnest(lines) AS line FROM quoted WHERE outermost <> ''))
+  WHERE words <> ''),
+held AS (
+  SELECT DISTINCT conv_id, turn, {_normalised('part')} AS words
+  FROM (SELECT conv_id, turn, body AS part FROM bodies
+        UNION ALL SELECT conv_id, turn, unnest(string_split(body, {_NEWLINE})) FROM bodies)
+  WHERE {_normalised('part')} <> ''),
+contexts AS (
+  SELECT DISTINCT conv_id, turn, words AS context FROM quoted WHERE depth = 1 AND outermost <> ''),
+answers AS (
+  SELECT a.conv_id, a.turn, a.passage, a.depth, a.whole, length(a.words) AS size,
+         count(c.turn) > 0 AS agrees,
+         coalesce(max(c.turn), min(h.turn)) AS holder
+  FROM asked a JOIN held h ON h.conv_id = a.conv_id AND h.words = a.words AND h.turn < a.turn
+  LEFT JOIN contexts c ON c.conv_id = h.conv_id AND c.turn = h.turn AND c.context = a.context
+  GROUP BY a.conv_id, a.turn, a.passage, a.depth, a.whole, a.words),
 linked AS (
-  SELECT q.conv_id, q.turn, q.role, q.body, i.holder AS parent
-  FROM quoting q LEFT JOIN index i
-    ON i.conv_id = q.conv_id AND i.passage = q.quoted AND i.passage <> '' AND i.holder < q.turn),
+  SELECT m.conv_id, m.turn, m.role, b.body, a.holder AS parent
+  FROM messages m JOIN bodies b USING (conv_id, turn) LEFT JOIN (
+    SELECT conv_id, turn, holder FROM answers QUALIFY row_number() OVER (
+      PARTITION BY conv_id, turn ORDER BY depth, passage, whole DESC, size DESC, agrees DESC, holder) = 1
+  ) a USING (conv_id, turn)),
 replies AS (
   SELECT conv_id, turn, turn AS root, 0 AS depth FROM linked WHERE parent IS NULL
   UNION ALL
@@ -117,6 +156,11 @@ replies AS (
 SELECT l.conv_id, l.turn, l.role, l.parent AS parent_turn, r.root AS root_turn,
        CAST(r.depth AS BIGINT) AS depth, l.body AS text
 FROM linked l JOIN replies r ON l.conv_id = r.conv_id AND l.turn = r.turn
+UNION ALL
+SELECT conv_id, turn, role, NULL, turn, 0, regexp_replace(array_to_string(
+         [x FOR x IN string_split(coalesce(text, ''), {_NEWLINE}) IF NOT starts_with(x, '>')],
+         {_NEWLINE}), {_BLANK_ENDS})
+FROM conversations WHERE conv_id IS NULL OR turn IS NULL
 """
 
 #: The CRC-32 of the decimal id, bit by bit, as DuckDB has no function for it.

@@ -76,9 +76,8 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as quoting replies, linked, ordered by reply and freed of quotes."""
-    turns = table(spark, folder, "conversations")
-    roles = turns.groupBy(F.col("conv_id").alias("scope"), "turn").agg(F.min("role").alias("role"))
-    return quotes.conversations(quotes.as_mail(turns)).join(roles, ["scope", "turn"], "left").select(
+    mail = quotes.as_mail(table(spark, folder, "conversations"), ["role"])
+    return quotes.conversations(mail, ["role"]).select(
         F.col("scope").alias("conv_id"), "turn", "role", F.col("parent").alias("parent_turn"),
         F.col("root").alias("root_turn"), "depth", F.col("body").alias("text"))
 

@@ -17,13 +17,16 @@ come from pointer doubling, in as many rounds as the logarithm of the longest th
 
 Defined results: a null text has no lines and no quotes; a message without a link, or
 whose quote is only found in itself or later, is a root of depth 0; blank passages
-are not indexed, and one of blank outermost level asks nothing; rows of one scope and turn are one message, that of the least text (nulls
-first); a null scope or turn makes a root of its own; other columns are ignored.
+are not indexed, and one of blank outermost level asks nothing; rows of one scope and turn are
+one message, that of the least text (nulls first) and of the least value of each carried
+column; every row with a null scope or turn is a root of its own, which quotes and holds nothing
+for others; columns that are not carried are ignored, and carried ones may not bear
+the names of the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,7 +58,7 @@ def _own_text(lines: Column) -> Column:
     """Level 0 lines; blank lines at both ends go with the quotes they stood by."""
     own = F.array_join(F.transform(F.filter(lines, lambda x: x["level"] == 0),
                                    lambda x: x["line"]), "\n")
-    return F.regexp_replace(own, r"^\n+|\n+$", "")
+    return F.regexp_replace(own, r"^\n+|\n+\z", "")
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -100,19 +103,28 @@ def _latest(asked: DataFrame, holders: DataFrame, key: list[str]) -> DataFrame:
             .where("latest IS NOT NULL"))
 
 
-def link(messages: DataFrame) -> DataFrame:
+def _single(rows: DataFrame, key: list[str], carried: Sequence[str]) -> DataFrame:
+    """One row per message: key, text and the carried columns; rows without a whole key stay."""
+    named = F.col(key[0]).isNotNull() & F.col(key[1]).isNotNull()
+    least = F.min(F.struct(F.col("text").isNotNull(), F.col("text"))).getField("text")
+    return (rows.where(named).groupBy(*key)
+            .agg(least.alias("text"), *[F.min(name).alias(name) for name in carried])
+            .unionByName(rows.where(~named).select(*key, "text", *carried)))
+
+
+def link(messages: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Each message with its own text and the turn it replies to (null for none).
 
-    ``messages`` has scope, turn and text; returns scope, turn, body and parent.
+    ``messages`` has scope, turn and text; returns scope, turn, body, parent and the carried
+    columns.
     """
-    single = messages.groupBy("scope", "turn").agg(
-        F.min(F.struct(F.col("text").isNotNull(), F.col("text"))).getField("text").alias("text"))
-    split = stored(parsed_lines(single).select(
-        "scope", "turn", _own_text(F.col("lines")).alias("body"),
+    split = stored(parsed_lines(_single(messages, ["scope", "turn"], carried).select(
+        "scope", "turn", "text", F.struct(F.lit(0), *carried).alias("carried"))).select(
+        "scope", "turn", "carried", _own_text(F.col("lines")).alias("body"),
         _passages(F.col("lines")).alias("quoted")))
+    whole = split.where("scope IS NOT NULL AND turn IS NOT NULL")
     hashed = lambda lines: F.md5(normalised(F.array_join(lines, "\n")))
-    levels = (split.where("scope IS NOT NULL AND turn IS NOT NULL")
-              .select("scope", "turn", F.posexplode("quoted").alias("passage", "levels"))
+    levels = (whole.select("scope", "turn", F.posexplode("quoted").alias("passage", "levels"))
               .select("scope", "turn", "passage", F.posexplode(F.transform(
                   "levels", lambda x, i: F.struct(x.alias("lines"), hashed(
                       F.get("levels", i + 1)).alias("context")))).alias("level", "q")))
@@ -126,7 +138,7 @@ def link(messages: DataFrame) -> DataFrame:
             (-F.col("level")).alias("level"), (-F.col("passage")).alias("passage"), "a.whole",
             F.length("a.text").alias("size")).alias("place"), F.md5("a.text").alias("hash")))
     # Whole passages and lines share one index; md5 of the normalised text is the key.
-    own = split.select("scope", "turn", F.explode(F.array_distinct(F.concat(
+    own = whole.select("scope", "turn", F.explode(F.array_distinct(F.concat(
         F.array(normalised(F.col("body"))),
         F.transform(F.split("body", "\n"), normalised)))).alias("passage"), F.array_distinct(
             F.transform("quoted", lambda x: hashed(x[0]))).alias("contexts"))
@@ -141,9 +153,12 @@ def link(messages: DataFrame) -> DataFrame:
              .groupBy("scope", "turn")
              .agg(F.max(F.struct("place", F.col("latest").isNotNull().alias("agrees"),
                                  (-F.coalesce("latest", "holder")).alias("earliest"))).alias("best")))
-    return (split.join(found.select("scope", "turn", (-F.col("best.earliest")).alias("parent")),
+    parent = F.lit(None).cast(messages.schema["turn"].dataType)
+    return (whole.join(found.select("scope", "turn", (-F.col("best.earliest")).alias("parent")),
                        ["scope", "turn"], "left")
-            .select("scope", "turn", "body", "parent"))
+            .unionByName(split.where("scope IS NULL OR turn IS NULL").withColumn("parent", parent))
+            .select("scope", "turn", "body", "parent", *[
+                F.col("carried").getField(name).alias(name) for name in carried]))
 
 
 def threads(links: DataFrame) -> DataFrame:
@@ -162,17 +177,18 @@ def threads(links: DataFrame) -> DataFrame:
     return state.select("scope", "turn", "root", "depth")
 
 
-def conversations(messages: DataFrame) -> DataFrame:
-    """Messages without quotes, with parent, root and depth.
+def conversations(messages: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Messages without quotes, with parent, root, depth and the carried columns.
 
     Sorted by scope, root, depth and turn they are the conversations in reply order;
     ``reply_ordered`` does so across tasks.
     """
-    linked = stored(link(messages))
-    return linked.join(threads(linked.where("scope IS NOT NULL AND turn IS NOT NULL")),
-                       ["scope", "turn"], "left").select(
-        "scope", "turn", "parent", F.coalesce("root", "turn").alias("root"),
-        F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), "body")
+    linked = stored(link(messages, carried))
+    whole = linked.where("scope IS NOT NULL AND turn IS NOT NULL")
+    alone = linked.where("scope IS NULL OR turn IS NULL")
+    return (whole.join(threads(whole), ["scope", "turn"])
+            .unionByName(alone.withColumns({"root": F.col("turn"), "depth": F.lit(0).cast("long")}))
+            .select("scope", "turn", "parent", "root", "depth", "body", *carried))
 
 
 def reply_ordered(messages: DataFrame) -> DataFrame:
@@ -180,19 +196,20 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     return conversations(messages).orderBy("scope", "root", "depth", "turn")
 
 
-def as_mail(turns: DataFrame) -> DataFrame:
+def as_mail(turns: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Chat turns as replies that quote the turn before, and within it the turn before that.
 
-    ``turns`` has conv_id, turn and text; returns scope, turn and text.  A turn repeated
-    in its conversation counts with its least text.
+    ``turns`` has conv_id, turn and text; returns scope, turn, text and the carried columns.
+    A turn repeated in its conversation counts with its least text and values; one without
+    a conversation or turn quotes nothing.
     """
-    single = turns.groupBy("conv_id", "turn").agg(
-        F.min(F.struct(F.col("text").isNotNull(), F.col("text"))).getField("text").alias("text"))
-    before = lambda steps, name: single.select(
+    single = _single(turns, ["conv_id", "turn"], carried)
+    before = lambda steps, name: single.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(
         "conv_id", (F.col("turn") + steps).alias("turn"), F.col("text").alias(name))
-    quoted = lambda text, mark: F.regexp_replace(text, r"(?m)^", mark)
-    return (single.join(before(1, "last"), ["conv_id", "turn"], "left")
-            .join(before(2, "earlier"), ["conv_id", "turn"], "left")
+    quoted = lambda text, mark: F.concat(F.lit(mark), F.replace(
+        F.col(text), F.lit("\n"), F.lit("\n" + mark)))
+    return (single.join(before(1, "text_before"), ["conv_id", "turn"], "left")
+            .join(before(2, "text_earlier"), ["conv_id", "turn"], "left")
             .select(F.col("conv_id").alias("scope"), "turn", F.concat_ws(
-                "\n", quoted(F.col("earlier"), ">> "), quoted(F.col("last"), "> "),
-                F.col("text")).alias("text")))
+                "\n", quoted("text_earlier", ">> "), quoted("text_before", "> "),
+                F.col("text")).alias("text"), *carried))

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
+import random
+
+import duckdb
 import pytest
 
 from basketlens.llm import quotes
+from basketlens.llm.oracle import QUOTATION_LINKS
+from basketlens.llm.queries import op9_quotation_links
 
 
 def run(spark, rows):
@@ -79,3 +84,35 @@ def test_turns_as_mail_and_back_in_reply_order(spark):
 def test_levels(spark, text, levels):
     row = quotes.parsed_lines(spark.createDataFrame([(text,)], "text string")).first()
     assert [x.level for x in row.lines] == levels
+
+
+def test_query_and_statement_agree_on_repeats_quotes_and_nulls(spark, tmp_path):
+    rng, parts = random.Random(5), [
+        "ok", "OK  ok", "thanks", "and then?", "yes\nno", "", "\n", ">", "> ok", ">> thanks\n> ok\nfine",
+        "a\n\n> ok\n\nb", "  ok", "a\r\nb", "ok\n", "\n\nlast", "> \n>> ok\nblank outside", None]
+    rows = [(c, t, rng.choice(["user", "bot", None]), rng.choice(parts), 1)
+            for c in range(60) for t in range(rng.choice([0, 1, 5, 17])) if rng.random() < 0.95]
+    rows += [(1, 2, "zed", "again", 2), (2, 0, "bot", None, 2), (None, 3, "user", "ok", 1),
+             (None, 3, "bot", "> ok\nfine", 1), (None, None, None, None, 1), (4, None, "user", "ok", 1),
+             (4, None, "user", "ok", 1)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, parent int")
+    frame.write.parquet(str(tmp_path / "conversations.parquet"))
+    found = [tuple(r[c] for c in sorted(r.asDict())) for r in op9_quotation_links(spark, str(tmp_path)).collect()]
+    duck = duckdb.connect()
+    duck.execute("CREATE VIEW conversations AS SELECT * FROM read_parquet(?)".replace(
+        "?", f"'{tmp_path}/conversations.parquet/*.parquet'"))
+    result = duck.execute(QUOTATION_LINKS)
+    names = [d[0] for d in result.description]
+    wanted = [tuple(row[names.index(c)] for c in sorted(names)) for row in result.fetchall()]
+    assert len(found) == len(wanted) > 250
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    assert len({r[names.index("turn")] for r in wanted}) > 5 and any(r[sorted(names).index("depth")] > 3 for r in wanted)
+
+
+def test_rows_without_a_whole_key_stay_roots_of_their_own(spark):
+    rows = [(None, 1, "a", "x"), (None, 1, "b", "y"), (3, None, "> a\nc", "z"), (3, None, "> a\nc", "z")]
+    frame = spark.createDataFrame(rows, "scope long, turn long, text string, role string")
+    out = sorted(((r.scope, r.turn, r.parent, r.root, r.depth, r.body, r.role) for r in
+                  quotes.conversations(frame, ["role"]).collect()), key=repr)
+    assert out == [(3, None, None, None, 0, "c", "z")] * 2 + [
+        (None, 1, None, 1, 0, "a", "x"), (None, 1, None, 1, 0, "b", "y")]
