@@ -1,8 +1,8 @@
 """Toxicity by classifier chains over word features.
 
 Categories are predicted one after another.  Each category's linear model sees the words
-that tell it apart in the labelled rows and the log-odds that the earlier models of the
-chain give.  In training those log-odds are out-of-fold predictions, so that a later model
+that tell it apart in the labelled rows and the probabilities that the earlier models of the
+chain give.  In training those probabilities are out-of-fold predictions, so that a later model
 meets earlier outputs as wrong as they will be on new texts; equal texts share a fold.
 
 The models are fitted on the driver from at most ``SAMPLE_ROWS`` labelled rows (least
@@ -32,7 +32,7 @@ FEATURES = 200
 LEAST_DOCUMENTS = 5
 BUCKET_BITS = 18
 FOLDS = 5
-RIDGE = 2.0
+RIDGE, CHAIN_RIDGE = 2.0, 0.05
 THRESHOLD = 0.5
 #: The chain: category and its label, from the columns of the labels.
 CATEGORIES = (("junk", "quality = 0"), ("toxic", "toxic = 1"),
@@ -59,8 +59,11 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None,
-                 ridge: float = RIDGE, steps: int = 10) -> np.ndarray:
-    """Weights and, last, the intercept of a ridge logistic regression, by Newton steps."""
+                 ridge: float = RIDGE, steps: int = 10, chained: int = 0) -> np.ndarray:
+    """Weights and, last, the intercept of a ridge logistic regression, by Newton steps.
+
+    The last ``chained`` columns are probabilities; they are few and dense, so hardly shrunk.
+    """
     x = np.column_stack([x, np.ones(len(x), x.dtype)])
     weights = np.zeros(x.shape[1])
     share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
@@ -70,6 +73,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None,
     if start is not None:
         weights = start.copy()
     penalty = np.full(x.shape[1], ridge)
+    penalty[-1 - chained:] = CHAIN_RIDGE
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = sigmoid(x @ weights)
@@ -98,7 +102,7 @@ def telling_buckets(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray, count:
 
 @dataclass(frozen=True)
 class ChainModel:
-    """Per category: its buckets, their weights, weights of earlier log-odds, intercept."""
+    """Per category: its buckets, their weights, weights of earlier probabilities, intercept."""
 
     names: tuple[str, ...]
     slots: np.ndarray
@@ -129,16 +133,16 @@ def fit_chain(names: Sequence[str], labels: np.ndarray, rows: np.ndarray, bucket
         x[rows[at >= 0], at[at >= 0]] = 1
         x[:, len(own):] = earlier
         y = labels[:, j].astype(np.float64)
-        weights = fit_logistic(x, y)
+        weights = fit_logistic(x, y, chained=j)
         word_weights[j, own] = weights[:len(own)]
         chain_weights[j, :j] = weights[len(own):-1]
         intercepts[j] = weights[-1]
         out = np.zeros(len(labels))
         for k in range(FOLDS):
             held = fold == k
-            part = fit_logistic(x[~held], y[~held], weights) if (~held).any() else weights
+            part = fit_logistic(x[~held], y[~held], weights, chained=j) if (~held).any() else weights
             out[held] = x[held] @ part[:-1] + part[-1]
-        earlier = np.column_stack([earlier, np.clip(out, -15, 15)]).astype(np.float32)
+        earlier = np.column_stack([earlier, sigmoid(out)]).astype(np.float32)
     return ChainModel(tuple(names), slots, word_weights, chain_weights, intercepts)
 
 
@@ -176,13 +180,12 @@ def _apply(batches: Iterator[pa.RecordBatch], model: ChainModel) -> Iterator[pa.
             row = np.searchsorted(bounds, held, side="right") - 1
             pairs = np.unique(row * features + slot[held])
             row, slot = pairs // features, pairs % features
-            odds = np.zeros((last - first, len(model.names)))
+            p = np.zeros((last - first, len(model.names)))
             for j in range(len(model.names)):
                 words_part = (np.bincount(row, weights=model.word_weights[j, slot],
                                           minlength=last - first) if len(row) else 0)
-                odds[:, j] = (words_part + np.clip(odds[:, :j], -15, 15) @ model.chain_weights[j, :j]
-                              + model.intercepts[j])
-            p = sigmoid(odds)
+                p[:, j] = sigmoid(words_part + p[:, :j] @ model.chain_weights[j, :j]
+                                  + model.intercepts[j])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, last - first)]
                 + [pa.array(p[:, j]) for j in range(len(model.names))],

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketlens.llm import language, quality, toxicity
@@ -134,10 +138,85 @@ def test_nothing_taught_and_empty(spark):
     assert language.predict(marked.where("false"), model).collect() == []
 
 
-def test_filters_have_no_false_negatives():
-    cells = np.arange(0, 4000, 3)
-    model = language.build_filters(["a", "b"], cells, cells % 2)
-    held = np.full(len(cells), ~np.uint64(0), np.uint64)
-    for places in language._slots_of(cells):
-        held &= model.slots[places]
-    assert (held >> (cells % 2).astype(np.uint64) & np.uint64(1) == 1).all()
+def plain_grams(text: str) -> list[bytes]:
+    """N-grams one by one: lower-case letters and bytes from 128 on, the rest as blanks."""
+    data = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32
+                 for b in (text or "").encode())
+    whole = [data[i:i + 4] for i in range(len(data) - 3)]
+    return [g for g in whole if sum(b != 32 for b in g) >= 2]
+
+
+def plain_filters(rows) -> dict[str, set[bytes]]:
+    """The n-grams that each language holds, by dictionaries of counts."""
+    seen = {}
+    for text, lang in rows:
+        if lang is not None and text is not None:
+            seen.setdefault(lang, Counter()).update(plain_grams(text))
+    rate = {n: {g: k / sum(c.values()) for g, k in c.items()} for n, c in seen.items()}
+    mean = Counter()
+    for rates in rate.values():
+        for gram, r in rates.items():
+            mean[gram] += r / len(seen)
+    return {n: {g for g, k in c.items() if k >= 3 and rate[n][g] >= 2.0 ** -18
+                and rate[n][g] > 1.5 * mean[g] - 1e-12} for n, c in seen.items()}
+
+
+def test_seventy_languages_against_plain_sets(spark):
+    rng, letters = random.Random(3), "abcdefghijklmnopqrstuvwxyzäöüßéñ"
+    own = {f"l{i:02}": "".join(rng.sample(letters, 4)) for i in range(70)}
+    rows = [(i, tongue(rng, own[name], rng.randint(30, 90)), name) for i, name in enumerate(list(own) * 12)]
+    rows += [(5000, None, "l00"), (5001, "..", "l01"), (5002, "", "l02")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.learn(docs.where("doc_id % 4 <> 2"))
+    assert model.languages == tuple(sorted(own)) and model.slots.shape == (2, 1 << language.SLOT_BITS)
+    plain = plain_filters([(t, n) for i, t, n in rows if i % 4 != 2])
+    for number, name in enumerate(sorted(plain)):
+        keys = np.array(sorted(int.from_bytes(g, "big") for g in plain[name]), np.uint64)
+        bits = language.masks_of(model.slots, keys)[number // 64] >> np.uint64(number % 64) & np.uint64(1)
+        assert bits.all(), name  # no false negatives
+    out = {r.doc_id: r for r in language.predict(docs.selectExpr(
+        "doc_id", "doc_id % 4 = 2 AS held_out", "text"), model).collect()}
+    for i, text, _ in rows[::7]:
+        found = plain_grams(text)
+        if not found:
+            continue
+        share = [sum(g in plain[n] for g in found) / len(found) for n in sorted(plain)]
+        best = max(share)  # the correction for false positives tells equal shares apart
+        assert share[sorted(plain).index(out[i].lang_pred)] >= best - 1e-3
+        if best > 0.2:
+            assert out[i].score == pytest.approx(best / sum(share), abs=0.02)
+    held = [out[i].lang_pred == name for i, _, name in rows[:-3] if i % 4 == 2]
+    assert sum(held) > 0.95 * len(held)
+    assert [out[i].lang_pred for i in (5000, 5001, 5002)] == ["und"] * 3
+
+
+def test_counts_are_sent_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(language, "COUNTED", 50)
+    rng = random.Random(9)
+    texts = [tongue(rng, "abcdefg", 30) for _ in range(20)]
+    parts = list(language._count(iter([pa.RecordBatch.from_arrays(
+        [pa.array(["xx", "yy"] * 10), pa.array(texts)], names=["lang", "text"])] * 3), ["xx", "yy"]))
+    assert len(parts) > 2
+    counted = Counter()
+    for part in parts:
+        for gram, lang, seen in zip(*[c.to_pylist() for c in part.columns]):
+            counted[gram, lang] += seen
+    wanted = Counter((int.from_bytes(g, "big"), i % 2) for i, t in enumerate(texts) for g in plain_grams(t))
+    assert counted == Counter({k: 3 * n for k, n in wanted.items()})
+
+
+def test_chain_is_the_sum_over_distinct_words_then_probabilities(spark, tables, rows):
+    docs, labels = tables
+    model = toxicity.train(docs, labels)
+    assert model.chain_weights.any()
+    out = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for i, text, _, _ in rows[::9]:
+        words = sorted({w.lower() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[A-Z]+", text)})
+        lists = [list(b) for b in next(iter(toxicity.word_buckets(iter([pa.RecordBatch.from_arrays(
+            [pa.array([0]), pa.array([" ".join(words)])], names=["k", "text"])]), 1))).column(1).to_pylist()]
+        held, earlier = {int(model.slots[b]) for b in lists[0] if model.slots[b] >= 0}, []
+        for j, name in enumerate(model.names):
+            odds = model.intercepts[j] + sum(model.word_weights[j, s] for s in held)
+            odds += sum(model.chain_weights[j, k] * p for k, p in enumerate(earlier))
+            earlier.append(1 / (1 + math.exp(-odds)))
+            assert getattr(out[i], f"p_{name}") == pytest.approx(earlier[j], abs=1e-5)
