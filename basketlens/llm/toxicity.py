@@ -32,7 +32,8 @@ FEATURES = 200
 LEAST_DOCUMENTS = 5
 BUCKET_BITS = 18
 FOLDS = 5
-RIDGE, CHAIN_RIDGE = 2.0, 0.05
+#: By held-out labels of sf0.1: 175 of 226 toxic texts found at 0.5 and none wrongly; 155 at 2.0.
+RIDGE, CHAIN_RIDGE = 0.5, 0.05
 THRESHOLD = 0.5
 #: The chain: category and its label, from the columns of the labels.
 CATEGORIES = (("junk", "quality = 0"), ("toxic", "toxic = 1"),
