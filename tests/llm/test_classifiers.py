@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.llm import language, quality, toxicity
 
@@ -102,6 +103,30 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark, tables, monkeypatch):
     assert seen == [600]
 
 
+def test_every_labelled_row_is_paired(spark):
+    """Labels far beyond the former 20,000 rows, of which a few are of label 0."""
+    few = 30
+    measured = spark.range(25_000).select(
+        "id", (F.col("id") >= few).cast("int").alias("quality"),
+        F.array(*[((F.col("id") * 7 + k) % 11 / 11).cast("double") for k in range(quality.N_BASE)]).alias("x")
+    ).toDF("doc_id", "quality", "x")
+    dealt, bad, good = quality._dealt(measured)
+    assert (bad, good) == (few, 25_000 - few) and dealt.where("first").count() == 25_000
+    blocks = dealt.groupBy("block").agg(F.count_if(F.col("quality") == 0).alias("bad"), F.count("*").alias("n")).collect()
+    assert len(blocks) == 12 and min(r.bad for r in blocks) == few and max(r.n for r in blocks) < 3_000
+    rows = quality._pairs_of(np.arange(100.0)[:, None], np.repeat([1, 0], [3, 97]), 0)
+    assert len(rows) == 120
+    held = np.eye(500)
+    pairs = quality._pairs_of(held, np.repeat([1, 0], [5, 495]), 1)
+    assert (np.abs(pairs).sum(axis=0) > 0).all()
+
+
+def test_quality_learns_alike_from_features_and_texts(tables):
+    docs, labels = tables
+    one, two = quality.learn(docs, labels), quality.train(quality.sample_of(docs, labels))
+    assert one.weights == pytest.approx(two.weights) and one.threshold == pytest.approx(two.threshold)
+
+
 def test_pair_fit_orders_by_preference():
     rng = np.random.default_rng(0)
     differences = rng.normal(size=(2000, 3)) + [1, 0, -0.5]
