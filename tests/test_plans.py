@@ -7,8 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 from basketlens.operators import campaigns, features, training
+from basketlens.operators.reports import run_report
 from basketlens.operators.retrieval import search
-from basketlens.plans.retail import RetailAnalysis
+from basketlens.plans.retail import RetailAnalysis, StoredAnalysis
 from basketlens.settings import FeatureWindows, SplitPlan
 from basketlens.sources.adapter import prepared_tables
 
@@ -63,6 +64,15 @@ def test_top_lists_do_not_sort_everything(spark, analysis):
     assert "WindowGroupLimit" in ranked and "Partial" in ranked.split("WindowGroupLimit", 2)[2]
 
 
+@pytest.mark.parametrize("report, built", [
+    ("coupon_usage_by_customer_segment", {"customers"}), ("campaign_performance", {"campaigns"}),
+    ("customer_spend_by_department", set())])
+def test_a_report_builds_only_the_tables_it_names(spark, report, built):
+    stored = StoredAnalysis(prepared_tables(spark, FOLDER))
+    run_report(spark, report, stored.views)
+    assert built == set(vars(stored)) & {"customers", "products", "campaigns", "campaign_households"}
+
+
 def test_training_set_is_pruned_by_split(spark, analysis, tmp_path):
     from basketlens.plans.retail import write_training_set
 
