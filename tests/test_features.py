@@ -108,3 +108,10 @@ def test_a_cut_off_outcome_has_no_spend_after(campaign_inputs):
     rows = by_key(campaign_households(*campaign_inputs, FeatureWindows(cutoff=9, outcome=4)),
                   "household_key", "CAMPAIGN")
     assert [rows[5, 31][n] for n in SPEND[2:]] == [None, 1, 2, True, False]
+
+
+def test_names_are_counted_without_multiplying_pairs(frame, lines, products):
+    exposed = frame([(9, 4, 1)], "household_key int, CAMPAIGN int, campaign_exposure int")
+    redeemed = frame([(9, 3, 4, 1)], "household_key int, DAY int, CAMPAIGN int, COUPON_UPC bigint")
+    table = household_features(lines, products, exposed, redeemed, WEEK)
+    assert "Expand" not in table._jdf.queryExecution().executedPlan().toString()
