@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.sources.layout import CURVE_BITS, curve_place, store_clustered
+from basketlens.sources.layout import CURVE_BITS, Extent, curve_place, store_clustered
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +49,20 @@ def test_a_window_opens_a_small_share_of_the_files(lines):
 def test_nothing_to_store(lines):
     table = store_clustered(lines.limit(0), "layout-test/none", "DAY", "household_key")
     assert table.rows.count() == 0 and table.between(0, 10).count() == 0
+
+
+def test_a_known_extent_saves_a_pass(spark, lines):
+    """The table is built once for the range bounds, once for the exchange, not for a count."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    passed = lines.mapInArrow(counted, lines.schema)
+    table = store_clustered(passed, "layout-test/extent", "DAY", "household_key", rows_a_file=300,
+                            extent=Extent(-5, 1500, 31_000))
+    assert seen.value <= 2 * 30_000
+    assert table.rows.exceptAll(lines).count() == 0 and table.rows.count() == 30_000
+    assert table.between(100, 130).count() == lines.where("DAY >= 100 AND DAY < 130").count()

@@ -57,6 +57,18 @@ def test_history_is_joined_after_reduction_with_the_range_in_the_join(analysis):
                      plan)
 
 
+def test_the_ledger_is_not_sorted_and_carries_no_empty_money(analysis):
+    t = analysis.tables
+    plan = plan_of(training.response_dataset(
+        t.campaigns, t.assignments, t.transactions, t.products, t.redemptions, SplitPlan()))
+    assert re.search(r"ShuffledHashJoin \[household_key#\d+L\], \[household_key#\d+L\], Inner, BuildRight, "
+                     r"\(.*DAY#\d+ < START_DAY", plan)
+    ledger = training.history_ledger(t.transactions, t.products, t.redemptions,
+                                     t.assignments.join(t.campaigns, "CAMPAIGN"), 90)
+    # An empty decimal takes 24 bytes of each row, an empty struct 8.
+    assert not [f for f in ledger.schema if f.dataType.typeName() == "decimal"]
+
+
 def test_top_lists_do_not_sort_everything(spark, analysis):
     run = entry.queries()["highest_value_customers"]
     assert "TakeOrderedAndProject" in plan_of(run(spark, FOLDER))
