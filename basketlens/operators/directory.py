@@ -6,10 +6,11 @@ import csv
 import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from basketlens.functions.text import is_blank
+from basketlens.functions.text import as_integer, as_number, is_blank
 from basketlens.settings import QualityRules
 from basketlens.sources.readers import CORRUPT, CSV_OPTIONS
 
@@ -19,18 +20,21 @@ SCHEMA = ("dataset string, column_name string, data_type string, row_count bigin
           "invalid_numeric_count bigint, invalid_date_count bigint, mean double, stddev double, "
           "min double, max double, malformed_rows bigint, duplicate_rows bigint")
 _FILES = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[cC][sS][vV]"}
-#: Types that text may be read as, the first that every value fits.
-_TYPES = ("int", "bigint", "double", "date")
 
 
-def csv_headers(spark: SparkSession, root: str) -> DataFrame:
-    """The distinct first lines of the CSV files below a folder, with their files."""
+def csv_headers(spark: SparkSession, root: str, dataset: str = BY_FILE) -> DataFrame:
+    """The distinct first lines of the CSV files below a folder, with their files: paths
+    as named and as metadata state them, and datasets."""
     lines = (spark.read.options(**_FILES).text(root)
              .where(F.col("_metadata.file_block_start") == 0)
-             .select(_plain(F.col("_metadata.file_path")).alias("path"), "value",
+             .select(F.col("_metadata.file_path").alias("file"), "value",
                      F.monotonically_increasing_id().alias("place")))
-    return (lines.groupBy("path").agg(F.min_by("value", "place").alias("header"))
-            .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")))
+    return (lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+            .coalesce(1)  # one row per file, all of which the caller collects
+            .withColumn("path", _plain(F.col("file")))
+            .groupBy("header").agg(F.sort_array(F.collect_list(F.struct(
+                "path", "file", F.regexp_extract("path", dataset, 1).alias("dataset"))))
+                .alias("files")))
 
 
 def column_names(header: str) -> list[str]:
@@ -51,18 +55,33 @@ def _literally(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
+def _read_values(names: list[str], rules: QualityRules) -> list[Column]:
+    """What each value is, evaluated once per row ahead of the sums that read it."""
+    def of(i: int, name: str) -> Column:
+        value = F.col(f"c{i}")
+        whole = as_integer(value)
+        return F.struct(
+            is_blank(value).alias("blank"), as_number(value).alias("number"),
+            whole.alias("bigint"), whole.between(-2**31, 2**31 - 1).alias("int"),
+            value.try_cast("date").isNotNull().alias("date"),
+            F.lower(F.trim(value)).isin("true", "false").alias("boolean"),
+            *([F.try_to_timestamp(value, F.lit(rules.dates[name])).isNotNull().alias("day")]
+              if name in rules.dates else []))
+    return [of(i, name).alias(f"v{i}") for i, name in enumerate(names)]
+
+
 def _findings(rows: DataFrame, names: list[str], rules: QualityRules) -> DataFrame:
     """Findings per dataset and column of the files of one header."""
     def of(i: int, name: str) -> Column:
-        value = F.col(f"c{i}")
-        blank, number = is_blank(value), value.try_cast("double")
-        unfit = {kind: F.count_if(~blank & value.try_cast(kind).isNull()) for kind in _TYPES}
-        unfit["boolean"] = F.count_if(~blank & ~F.lower(F.trim(value)).isin("true", "false"))
+        value = F.col(f"v{i}")
+        blank, number = value["blank"], value["number"]
+        fits = {"int": F.coalesce(value["int"], F.lit(False)), "bigint": value["bigint"].isNotNull(),
+                "double": number.isNotNull(), "date": value["date"], "boolean": value["boolean"]}
+        unfit = {kind: F.count_if(~blank & ~fit) for kind, fit in fits.items()}
         some = F.count_if(~blank) > 0
         kind = F.coalesce(*[F.when(some & (n == 0), k) for k, n in unfit.items()], F.lit("string"))
         unparsed = F.lit(None).cast("bigint")
-        day = (F.count_if(~blank & F.try_to_timestamp(value, F.lit(rules.dates[name])).isNull())
-               if name in rules.dates else unparsed)
+        day = F.count_if(~blank & ~value["day"]) if name in rules.dates else unparsed
         return F.struct(
             F.lit(name).alias("column_name"), kind.alias("data_type"),
             F.count(F.lit(1)).alias("row_count"), F.count_if(blank).alias("null_count"),
@@ -79,7 +98,7 @@ def _findings(rows: DataFrame, names: list[str], rules: QualityRules) -> DataFra
     copies = (rows.groupBy("dataset", F.unhex(digest).alias("digest"))
               .agg((F.count(F.lit(1)) - 1).alias("extra"))
               .groupBy("dataset").agg(F.sum("extra").alias("duplicate_rows")))
-    return (rows.groupBy("dataset").agg(
+    return (rows.select("dataset", CORRUPT, *_read_values(names, rules)).groupBy("dataset").agg(
                 F.array(*[of(i, name) for i, name in enumerate(names)]).alias("found"),
                 F.count(CORRUPT).alias("malformed_rows"))
             .join(copies, "dataset")
@@ -101,17 +120,23 @@ def directory_profile(spark: SparkSession, root: str, rules: QualityRules = Qual
     malformed, as in any read by lines.  A file without a line has no findings, one
     with a header only has none either.
     """
-    parts = []
-    for header in csv_headers(spark, root).collect():  # one row per distinct header
+    parts, headers = [], csv_headers(spark, root, dataset).collect()  # one row per distinct header
+    if not headers:
+        return spark.createDataFrame([], SCHEMA)
+    # A small table of files names the datasets: to take them from each row's path would cost
+    # more than to read the row.
+    found = [file for header in headers for file in header.files]
+    files = spark.createDataFrame(pa.table({name: pa.array([f[name] for f in found], pa.string())
+                                            for name in ("file", "dataset")}))
+    for header in headers:
         names = column_names(header.header)
         schema = StructType([*[StructField(f"c{i}", StringType()) for i in range(len(names))],
                              StructField(CORRUPT, StringType())])
         if not names:
             continue
         rows = (spark.read.options(**CSV_OPTIONS).schema(schema)
-                .csv([_literally(path) for path in header.paths])
-                .withColumn("dataset", F.regexp_extract(
-                    _plain(F.col("_metadata.file_path")), dataset, 1)))
+                .csv([_literally(f.path) for f in header.files])
+                .withColumn("file", F.col("_metadata.file_path")).join(files, "file", "left"))
         parts.append(_findings(rows, names, rules))
     if not parts:
         return spark.createDataFrame([], SCHEMA)

@@ -1,8 +1,11 @@
 import math
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.contracts import SOURCE_SCHEMAS
+from basketlens.functions.text import as_integer, as_number
 from basketlens.operators import directory, quality
 from basketlens.settings import QualityRules
 from basketlens.sources import readers, sinks
@@ -211,3 +214,24 @@ def test_directory_profile_of_an_empty_folder(spark, tmp_path):
     assert directory.directory_profile(spark, str(tmp_path)).count() == 0
     (tmp_path / "empty.csv").write_text("")
     assert directory.directory_profile(spark, str(tmp_path)).columns[0] == "dataset"
+
+
+def test_words_are_not_cast_and_paths_not_taken_apart_row_by_row(spark, tmp_path):
+    odd = ["12", " 12\n", "+7", "-0", "1.5", ".5", "5.", "1e5", "1E-3f", "2d", "0x1p3", "0x.8P1D", "NaN", "nan",
+           " inf", "-Infinity", "+INF", "word", "2020-01-01", "1 2", "", " ", "-", "e5", "9223372036854775807",
+           "-9223372036854775808", "9223372036854775808", "0000000000000000000012", "99999999999999999999", "٣",
+           "12\x00", "\x7f7", "infinit", "1e400", "0x10", "1_000", None]
+    text = spark.createDataFrame([(v,) for v in odd], "v string")
+    for made, kind in ((as_integer, "bigint"), (as_number, "double")):
+        rows = text.select("v", made(F.col("v")).alias("made"), F.col("v").try_cast(kind).alias("cast"))
+        assert rows.where("NOT made <=> cast").collect() == []
+    for day in ("1", "2"):
+        (tmp_path / f"day={day}").mkdir()
+        (tmp_path / f"day={day}" / "part.csv").write_text("kind,n\nTypeA,3000000000\nTypeB,2\n")
+    profile = directory.directory_profile(spark, str(tmp_path), dataset=directory.BY_FOLDER)
+    assert sorted((r.dataset, r.column_name, r.data_type, r.min) for r in profile.collect()) == [
+        (f"day={day}", *rest) for day in "12" for rest in (("kind", "string", None), ("n", "bigint", 2.0))]
+    plan = profile._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and "url_decode" not in plan.lower()
+    # Each value is parsed once, not once for each sum that reads it.
+    assert len(re.findall(r"cast\(c\d+#\d+ as double\)", plan)) == 2
