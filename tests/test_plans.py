@@ -11,7 +11,7 @@ from basketlens.operators.reports import run_report
 from basketlens.operators.retrieval import search
 from basketlens.plans.retail import RetailAnalysis, StoredAnalysis
 from basketlens.settings import FeatureWindows, SplitPlan
-from basketlens.sources.adapter import prepared_tables
+from basketlens.sources.adapter import PreparedTables, prepared_tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -34,6 +34,12 @@ def test_day_window_and_columns_reach_the_scan(analysis):
     assert "RETAIL_DISC" not in read and "STORE_ID" not in read
 
 
+def test_transactions_are_read_as_stored_after_a_window_of_them(spark):
+    tables = PreparedTables(spark, FOLDER)
+    assert tables.lines_between(1910, 2000).count() > 0
+    assert "orders" not in plan_of(tables.transactions) and "Join" not in plan_of(tables.transactions)
+
+
 @pytest.mark.parametrize("name", ["dataset", "customers", "products", "campaigns", "offers"])
 def test_no_cartesian_products(analysis, name):
     plan = plan_of(getattr(analysis, name))
