@@ -75,6 +75,14 @@ def test_the_ledger_is_not_sorted_and_carries_no_empty_money(analysis):
     assert not [f for f in ledger.schema if f.dataType.typeName() == "decimal"]
 
 
+def test_product_days_are_dealt_once_for_their_distinct_rows_and_windows(analysis):
+    t = analysis.tables
+    plan = plan_of(training.history_ledger(t.transactions, t.products, t.redemptions,
+                                           t.assignments.join(t.campaigns, "CAMPAIGN"), 90))
+    assert len(re.findall(r"Exchange hashpartitioning\(household_key#\d+L, PRODUCT_ID#\d+L, DAY#\d+,", plan)) == 0
+    assert re.search(r"Exchange hashpartitioning\(household_key#\d+L, PRODUCT_ID#\d+L, \d+\), REPARTITION_BY_COL", plan)
+
+
 def test_top_lists_do_not_sort_everything(spark, analysis):
     run = entry.queries()["highest_value_customers"]
     assert "TakeOrderedAndProject" in plan_of(run(spark, FOLDER))
