@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from basketlens.operators import campaigns, features, training
+from basketlens.operators import campaigns, features, retrieval, training
 from basketlens.operators.reports import run_report
 from basketlens.operators.retrieval import search
 from basketlens.plans.retail import RetailAnalysis, StoredAnalysis
@@ -90,6 +90,14 @@ def test_top_lists_do_not_sort_everything(spark, analysis):
     assert "WindowGroupLimit" in ranked and "Partial" in ranked.split("WindowGroupLimit", 2)[2]
 
 
+def test_the_index_is_written_with_one_exchange(analysis, monkeypatch):
+    written = []
+    monkeypatch.setattr(retrieval, "stored", lambda df, name: written.append(df) or df)
+    index = retrieval.stored_index(analysis.tables.documents, "index")
+    assert plan_of(written[0]).count("Exchange ") == 1
+    assert index.exceptAll(retrieval.postings(analysis.tables.documents)).isEmpty()
+
+
 @pytest.mark.parametrize("report, built", [
     ("coupon_usage_by_customer_segment", {"customers"}), ("campaign_performance", {"campaigns"}),
     ("customer_spend_by_department", set())])
